@@ -144,6 +144,11 @@ class Lake:
         ready = self.usable.dropna(subset=[*schemas.MODEL_FEATURES, schemas.MODEL_TARGET])
         return model.temporal_split(ready, SPLIT).withColumn("niveau_predit", F.expr(GUESS))
 
+    @cached_property
+    def evaluation(self) -> model.Evaluation:
+        """One trained forest, shared by the queries about it."""
+        return model.train_and_evaluate(self.usable, SPLIT)
+
     @cached_property
     def daily_points(self) -> DataFrame:
         """One row per point and day, with the required variables; batches of 20 points."""
@@ -171,7 +176,7 @@ def _lake(application: str, spark: SparkSession, folder: str) -> Lake:
 
 
 def lake(spark: SparkSession, folder: str) -> Lake:
-    """The frames of a folder. Only plans are kept, never data."""
+    """The frames of a folder. Plans and the trained forest are kept, never tables."""
     pin_settings(spark)
     return _lake(spark.sparkContext.applicationId, spark, folder)
 

@@ -900,11 +900,11 @@ _PER_CLASS = """SELECT CAST(v AS VARCHAR) AS classe,
 
 @query(
     ["guessed"],
-    f"""WITH c AS ({_PER_CLASS}), everything AS (SELECT * FROM c UNION ALL
+    f"""SELECT classe, {O.rounded(['precision', 'rappel', 'f1'])}, support FROM (
+        WITH c AS ({_PER_CLASS}) SELECT * FROM c UNION ALL
         SELECT 'macro', AVG(precision), AVG(rappel), AVG(f1), CAST(SUM(support) AS BIGINT) FROM c UNION ALL
         SELECT 'pondérée', SUM(precision * support) / SUM(support), SUM(rappel * support) / SUM(support),
-            SUM(f1 * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM c)
-        SELECT classe, {O.rounded(['precision', 'rappel', 'f1'])}, support FROM everything""",
+            SUM(f1 * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM c)""",
     ["precision", "rappel", "f1"],
 )
 def classification_report(x: Lake) -> DataFrame:
@@ -952,13 +952,12 @@ def feature_medians(x: Lake) -> DataFrame:
 
 @query()
 def forest_metrics(x: Lake) -> DataFrame:
-    done = model.train_and_evaluate(x.usable, SPLIT)
-    return done.metrics.unionByName(done.baseline)
+    return x.evaluation.metrics.unionByName(x.evaluation.baseline)
 
 
 @query()
 def importances(x: Lake) -> DataFrame:
-    return model.train_and_evaluate(x.usable, SPLIT).importances
+    return x.evaluation.importances
 
 
 @query()
@@ -969,11 +968,9 @@ def model_comparison(x: Lake) -> DataFrame:
 @query()
 def scored_features(x: Lake) -> DataFrame:
     """Both horizons of every area and day with a complete window, most dangerous first."""
-    _, train, _ = model.split_parts(x.usable, SPLIT)
-    fitted = model.train_forest(train)
     ready = x.tables["ml_features_incendie"].where("meteo_disponible")
     scoring = reshape.expand_horizons(ready, "meteo_date")
-    return model.rank_predictions(model.score(fitted, scoring))
+    return model.rank_predictions(model.score(x.evaluation.model, scoring))
 
 
 @query()

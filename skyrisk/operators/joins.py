@@ -25,7 +25,8 @@ def with_validity(df: DataFrame, by: list[str], on: str, name: str = "date_suiva
     day of the calendar.
     """
     window = Window.partitionBy(*by).orderBy(on)
-    return df.withColumn(name, F.lead(on, 1, F.to_date(F.lit("9999-12-31"))).over(window))
+    last = F.lit("9999-12-31").cast("date")
+    return df.withColumn(name, F.coalesce(F.lead(on).over(window), last))
 
 
 def asof_join(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyrisk import schemas
-from skyrisk.functions.scalars import level_label
+from skyrisk.functions.scalars import all_of, any_of, is_infinite, is_missing, level_label
 from skyrisk.operators import quality as Q
 from skyrisk.operators.aggregates import medians
 from skyrisk.operators.joins import latest_where_complete
@@ -41,29 +41,37 @@ def load_training(train: DataFrame) -> DataFrame:
     return usable_training(train).orderBy("date_prevision", "numero_departement", "echeance")
 
 
-def training_rules() -> list[Q.Rule]:
-    """Numbers everywhere, nothing infinite, targets in 1..4 (checked before rows are dropped)."""
+def _number(column: str) -> Column:
+    return F.col(column).try_cast("double")
+
+
+def _complete() -> Column:
+    """Every input and the target are present."""
+    return all_of([~is_missing(_number(c)) for c in [*FEATURES, TARGET]])
+
+
+def training_rules(least_rows: int = 1) -> list[Q.Rule]:
+    """Numbers only, nothing infinite, targets in 1..4 even on rows that will be dropped."""
     columns = [*FEATURES, TARGET]
+    infinite = any_of([F.coalesce(is_infinite(_number(c)), F.lit(False)) for c in columns])
+    outside = ~_number(TARGET).isin([float(v) for v in LEVELS]) & ~F.isnan(_number(TARGET))
     return [
         *Q.numeric(*columns),
-        Q.finite(*[c for c in columns]),
-        Q.row_rule("target", ~F.col(TARGET).try_cast("double").isin([float(v) for v in LEVELS])),
+        Q.row_rule("finite", infinite),
+        Q.row_rule("target", outside),
+        Q.Rule("usable_rows", measure=F.when(F.count_if(_complete()) < least_rows, 1).otherwise(0)),
     ]
 
 
+def _ready(df: DataFrame) -> DataFrame:
+    rows = df.where(_complete()).withColumns({c: _number(c) for c in [*FEATURES, TARGET]})
+    return rows.withColumn(TARGET, F.col(TARGET).cast("int"))
+
+
 def prepare_training(df: DataFrame) -> DataFrame:
-    """Complete numeric rows; context columns are kept."""
-    columns = [*FEATURES, TARGET]
-    Q.require_columns(df, columns)
-    as_doubles = df.withColumns({c: F.col(c).try_cast("double") for c in columns})
-    # Whether text is a number is a question to the column as it was received.
-    Q.enforce(
-        Q.validate(df, Q.numeric(*columns)).unionByName(
-            Q.validate(as_doubles, [r for r in training_rules() if not r.name.startswith("numeric")])
-        )
-    )
-    ready = as_doubles.dropna(subset=columns).withColumn(TARGET, F.col(TARGET).cast("int"))
-    return Q.check(ready, [Q.not_empty()])
+    """Complete numeric rows, after the checks; context columns are kept."""
+    Q.require_columns(df, [*FEATURES, TARGET])
+    return _ready(Q.check(df, training_rules()))
 
 
 @dataclass(frozen=True)
@@ -99,12 +107,15 @@ def split_report(parts: DataFrame, day: str = "date_prevision") -> DataFrame:
 
 
 def split_rules(split: Split = Split()) -> list[Q.Rule]:
+    """Every usable row has a target day, and neither part is empty."""
     part = split.part()
 
     def absent(name: str) -> Q.Rule:
-        return Q.Rule(f"empty:{name}", measure=F.when(F.count_if(part == name) == 0, 1).otherwise(0))
+        rows = F.count_if(_complete() & (part == name))
+        return Q.Rule(f"empty:{name}", measure=F.when(rows == 0, 1).otherwise(0))
 
-    return [Q.row_rule("target_day", F.to_date(F.col(split.day)).isNull()), absent("train"), absent("test")]
+    no_day = _complete() & F.to_date(F.col(split.day)).isNull()
+    return [Q.row_rule("target_day", no_day), absent("train"), absent("test")]
 
 
 def class_weights(df: DataFrame, target: str = TARGET) -> DataFrame:
@@ -244,6 +255,8 @@ def forest(trees: int = 200, max_depth: int = 30, seed: int = SEED) -> RandomFor
         labelCol="label",
         seed=seed,
         maxMemoryInMB=1024,
+        # Rows remember their node instead of walking every tree again at each level.
+        cacheNodeIds=True,
     )
 
 
@@ -316,13 +329,15 @@ def train_logistic(train: DataFrame) -> DangerModel:
 
 
 def split_parts(df: DataFrame, split: Split = Split()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all rows with their part, train, test), after the checks. The rows are kept in memory or on disk."""
-    ready = prepare_training(df)
-    Q.require_columns(ready, [split.day])
-    if ready.limit(MIN_ROWS).count() < MIN_ROWS:
-        raise Q.ContractError(f"Fewer than {MIN_ROWS} usable rows")
-    Q.check(ready, split_rules(split))
-    parts = temporal_split(ready, split).persist()
+    """(all usable rows with their part, train, test).
+
+    The rows are persisted by the single job that checks them, and read from there by
+    training and evaluation.
+    """
+    Q.require_columns(df, [*FEATURES, TARGET, split.day])
+    rows = df.persist()
+    Q.check(rows, training_rules(MIN_ROWS) + split_rules(split))
+    parts = temporal_split(_ready(rows), split)
     return parts, parts.where("partie = 'train'"), parts.where("partie = 'test'")
 
 
