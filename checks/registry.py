@@ -610,22 +610,18 @@ def batch_fallback(x: Lake) -> DataFrame:
 )
 def flatten_daily(x: Lake) -> DataFrame:
     """Points packed into payloads of at most twenty answers, then unpacked by position."""
-    pos = (F.col("code_insee").cast("long") % 20).cast("int")
-    asked = x.daily_points.withColumn("slot", pos)
-    one = lambda v: F.array(F.col(v))
     answer = F.struct(
         F.struct(
-            F.array(F.date_format("jour", "yyyy-MM-dd")).alias("time"), *[one(v).alias(v) for v in _REQUIRED]
+            F.array(F.date_format("jour", "yyyy-MM-dd")).alias("time"), *[F.array(F.col(v)).alias(v) for v in _REQUIRED]
         ).alias("daily")
     )
-    packed = asked.groupBy("batch_id").agg(F.sort_array(F.collect_list(F.struct("slot", answer.alias("answer")))).alias("a"))
-    payloads = packed.select(
-        "batch_id", F.to_json(F.col("a.answer"), {"ignoreNullFields": "false"}).alias("body")
+    packed = x.daily_points.groupBy("batch_id").agg(
+        F.sort_array(F.collect_list(F.struct("code_insee", F.col("jour").alias("requested_day"), answer.alias("answer")))).alias("a")
     )
-    manifest = packed.select("batch_id", F.posexplode("a.slot").alias("pos", "slot")).join(
-        asked.select("batch_id", "slot", "code_insee", F.col("jour").alias("requested_day")), ["batch_id", "slot"]
-    )
-    answered = landing.answers_by_point(landing.parse_payloads(payloads, _REQUIRED), manifest.drop("slot"))
+    payloads = packed.select("batch_id", F.to_json(F.col("a.answer"), {"ignoreNullFields": "false"}).alias("body"))
+    asked = packed.select("batch_id", F.posexplode("a").alias("pos", "point"))
+    manifest = asked.select("batch_id", "pos", "point.code_insee", "point.requested_day")
+    answered = landing.answers_by_point(landing.parse_payloads(payloads, _REQUIRED), manifest)
     return landing.flatten_daily(answered, _REQUIRED).drop("batch_id", "insere_a")
 
 

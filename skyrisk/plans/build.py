@@ -51,7 +51,9 @@ def build(
     publish("fact_meteo", marts.fact_weather(observations))
     danger = publish("fact_danger_incendie", marts.fact_danger(bulletins))
     publish("pbi_risque_incendie", marts.danger_with_weather(danger, small_areas, area_day))
-    feature_rows = publish("ml_features_incendie", marts.features(area_day, danger))
+    # Publication days need neither deduplication nor horizons.
+    published = staging.name_bulletins(raw_bulletins)
+    feature_rows = publish("ml_features_incendie", marts.features(area_day, published))
     publish("ml_train_incendie", marts.training(danger, feature_rows, small_areas))
     return tables
 

@@ -66,12 +66,18 @@ def fact_weather(observations: DataFrame) -> DataFrame:
 
 
 def weather_by_area_day(observations: DataFrame) -> DataFrame:
-    """Area-days: partial aggregation leaves at most one row per point, day and task to shuffle."""
-    return observations.groupBy("date", *AREA).agg(
+    """Area-days.
+
+    The measures and the exact count of points are two aggregations. In one, Spark would
+    shuffle every measure of every point for the sake of the distinct count; apart, the
+    measures leave each task already reduced to area-days, and only (area, day, point)
+    keys are shuffled to be counted. The two small results are then put side by side.
+    """
+    keys = ["date", *AREA]
+    measures = observations.groupBy(*keys).agg(
         # Names depend on the area code, so any value will do; min is deterministic.
         F.min("departement").alias("departement"),
         F.min("region").alias("region"),
-        F.count_distinct("code_insee").alias("nombre_points_meteo"),
         all_complete(POINT_REQUIRED).alias("mesures_completes"),
         F.avg("temperature_moyenne").alias("temperature_moyenne"),
         F.min("temperature_minimale").alias("temperature_minimale"),
@@ -84,6 +90,13 @@ def weather_by_area_day(observations: DataFrame) -> DataFrame:
         F.avg("couverture_nuageuse_moyenne").alias("couverture_nuageuse_moyenne"),
         F.max("deficit_pression_vapeur_maximal").alias("deficit_pression_vapeur_maximal"),
     )
+    points = observations.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.count_distinct("code_insee").alias("nombre_points_meteo")
+    )
+    # Null-safe, so that an area without a code keeps its row, as a plain grouping would.
+    same = all_of([F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    others = [c for c in measures.columns if c not in (*keys, "departement", "region")]
+    return measures.join(points, same).select(*keys, "departement", "region", "nombre_points_meteo", *others)
 
 
 # --- Dimensions -------------------------------------------------------------------------
@@ -237,12 +250,14 @@ ROLLING = [
 ]
 
 
-def features(area_day: DataFrame, danger: DataFrame) -> DataFrame:
+def features(area_day: DataFrame, bulletins: DataFrame) -> DataFrame:
     """Weather known on each publication day, without any target.
 
-    The match is on the exact day: a publication without same-day weather keeps nulls.
+    ``bulletins`` may be the danger table, or any frame with its publication days and
+    areas, repeated or not. The match is on the exact day: a publication without same-day
+    weather keeps nulls.
     """
-    published = danger.select("date_publication", *AREA).distinct()
+    published = bulletins.select("date_publication", *AREA).distinct()
     weather = rolling_weather(area_day).withColumn("meteo_date", F.col("date"))
     days = F.col("nombre_jours_meteo_7j")
     joined = published.join(weather.withColumnRenamed("date", "date_publication"), ["date_publication", *AREA], "left")
