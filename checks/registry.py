@@ -665,7 +665,7 @@ def month_profile(x: Lake) -> DataFrame:
 
 
 _AREA_PROFILE = f"""SELECT numero_departement, departement, COUNT(*) AS observations, {_MEAN}, {_HIGH},
-    CAST(COUNT_IF(niveau_danger = 4) AS BIGINT) AS nb_tres_eleve FROM explored GROUP BY 1, 2"""
+    CAST(COUNT_IF(niveau_danger = 4) AS BIGINT) AS nb_tres_eleve FROM explored WHERE departement IS NOT NULL GROUP BY 1, 2"""
 
 
 @query(["explored"], f"{_AREA_PROFILE} ORDER BY pct_danger_eleve DESC, numero_departement LIMIT 15")
@@ -769,7 +769,10 @@ def coverage(x: Lake) -> DataFrame:
     return explore.incomplete_coverage(x.explored)
 
 
-@query(["areas"], "SELECT numero_departement || ' - ' || departement AS libelle, numero_departement FROM areas")
+@query(
+    ["explored"],
+    "SELECT DISTINCT numero_departement || ' - ' || departement AS libelle, numero_departement FROM explored",
+)
 def area_options(x: Lake) -> DataFrame:
     return explore.area_options(x.explored)
 
@@ -859,7 +862,7 @@ _F1 = " + ".join(
     f"COALESCE(2.0 * COUNT_IF(t = {v} AND p = {v}) / NULLIF(COUNT_IF(t = {v}) + COUNT_IF(p = {v}), 0), 0)"
     for v in schemas.LEVELS
 )
-_METRICS = f"""SELECT COUNT(*) AS lignes, ROUND(COUNT_IF(t = p) / COUNT(*), {O.DIGITS}) AS accuracy,
+_METRICS = f"""SELECT COUNT(*) AS lignes, ROUND(COALESCE(COUNT_IF(t = p) / NULLIF(COUNT(*), 0), 0), {O.DIGITS}) AS accuracy,
     ROUND(({_F1}) / 4.0, {O.DIGITS}) AS f1_macro FROM ({{rows}})"""
 
 
@@ -885,13 +888,14 @@ def guess_metrics(x: Lake) -> DataFrame:
     return model.classification_metrics(x.guessed.where("partie = 'test'"))
 
 
+_WEIGHTED = "COALESCE(SUM({} * support) / NULLIF(SUM(support), 0), 0)"
 _PER_CLASS = """SELECT CAST(v AS VARCHAR) AS classe,
     COALESCE(COUNT_IF(t = v AND p = v) / NULLIF(COUNT_IF(p = v), 0), 0) AS precision,
     COALESCE(COUNT_IF(t = v AND p = v) / NULLIF(COUNT_IF(t = v), 0), 0) AS rappel,
     COALESCE(2.0 * COUNT_IF(t = v AND p = v) / NULLIF(COUNT_IF(t = v) + COUNT_IF(p = v), 0), 0) AS f1,
-    CAST(COUNT_IF(t = v) AS BIGINT) AS support
-    FROM (SELECT cible_niveau_danger AS t, niveau_predit AS p FROM guessed WHERE partie = 'test'), (VALUES (1), (2), (3), (4)) AS d(v)
-    GROUP BY v"""
+    COUNT(*) FILTER (WHERE t = v) AS support
+    FROM (VALUES (1), (2), (3), (4)) AS d(v)
+    LEFT JOIN (SELECT cible_niveau_danger AS t, niveau_predit AS p FROM guessed WHERE partie = 'test') ON TRUE GROUP BY v"""
 
 
 @query(
@@ -899,8 +903,7 @@ _PER_CLASS = """SELECT CAST(v AS VARCHAR) AS classe,
     f"""SELECT classe, {O.rounded(['precision', 'rappel', 'f1'])}, support FROM (
         WITH c AS ({_PER_CLASS}) SELECT * FROM c UNION ALL
         SELECT 'macro', AVG(precision), AVG(rappel), AVG(f1), CAST(SUM(support) AS BIGINT) FROM c UNION ALL
-        SELECT 'pondérée', SUM(precision * support) / SUM(support), SUM(rappel * support) / SUM(support),
-            SUM(f1 * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM c)""",
+        SELECT 'pondérée', {_WEIGHTED.format('precision')}, {_WEIGHTED.format('rappel')}, {_WEIGHTED.format('f1')}, CAST(SUM(support) AS BIGINT) FROM c)""",
     ["precision", "rappel", "f1"],
 )
 def classification_report(x: Lake) -> DataFrame:
@@ -910,8 +913,8 @@ def classification_report(x: Lake) -> DataFrame:
 @query(
     ["guessed"],
     f"""SELECT CAST(v AS BIGINT) AS niveau_reel,
-        {O._list(f'CAST(COUNT_IF(cible_niveau_danger = v AND niveau_predit = {p}) AS BIGINT) AS predit_{p}' for p in schemas.LEVELS)}
-        FROM (SELECT * FROM guessed WHERE partie = 'test'), (VALUES (1), (2), (3), (4)) AS d(v) GROUP BY v""",
+        {O._list(f'COUNT(*) FILTER (WHERE cible_niveau_danger = v AND niveau_predit = {p}) AS predit_{p}' for p in schemas.LEVELS)}
+        FROM (VALUES (1), (2), (3), (4)) AS d(v) LEFT JOIN (SELECT * FROM guessed WHERE partie = 'test') ON TRUE GROUP BY v""",
 )
 def confusion_matrix(x: Lake) -> DataFrame:
     return model.confusion(x.guessed.where("partie = 'test'"))
@@ -940,7 +943,8 @@ def history_comparison(x: Lake) -> DataFrame:
 def feature_medians(x: Lake) -> DataFrame:
     """Exact medians; the few values found are returned as rows."""
     found = aggregates.medians(x.tables["ml_features_incendie"], schemas.WEATHER_FEATURES)
-    return x.spark.createDataFrame(list(found.items()), "variable string, mediane double")
+    rows = [(c, found.get(c)) for c in schemas.WEATHER_FEATURES]
+    return x.spark.createDataFrame(rows, "variable string, mediane double")
 
 
 # --- Fitted models: no SQL equivalent ----------------------------------------------------

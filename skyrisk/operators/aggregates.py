@@ -124,40 +124,48 @@ def medians(df: DataFrame, columns: Sequence[str], spread: float = 0.001) -> dic
     Approximate quantiles just below and above the middle bound each median; the rows
     below the lower bound are counted, and only the values between the bounds, counted by
     value, are ranked. Nulls and NaN are ignored; a column without values gives no entry.
+    The columns are persisted for the three passes.
     """
-    clean = df.select(*[F.when(~is_missing(c), F.col(c).cast("double")).alias(c) for c in columns])
-    lows, highs = 0.5 - spread, 0.5 + spread
+    clean = df.select(*[F.when(~is_missing(c), F.col(c).cast("double")).alias(c) for c in columns]).persist()
+    try:
+        return _medians(clean, columns, spread)
+    finally:
+        clean.unpersist()
+
+
+def _medians(clean: DataFrame, columns: Sequence[str], spread: float) -> dict[str, float]:
+    around = F.array(F.lit(0.5 - spread), F.lit(0.5 + spread))
     bounds = clean.agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.percentile_approx(c, F.array(F.lit(lows), F.lit(highs)), 10_000).alias(f"q_{c}") for c in columns],
+        *[F.percentile_approx(c, around, 10_000).alias(f"q_{c}") for c in columns],
     ).first()
     present = [c for c in columns if bounds[f"n_{c}"]]
     if not present:
         return {}
-    edges = {c: (bounds[f"q_{c}"][0], bounds[f"q_{c}"][1]) for c in present}
+    edges = {c: tuple(bounds[f"q_{c}"]) for c in present}
     below = clean.agg(*[F.count_if(F.col(c) < edges[c][0]).alias(c) for c in present]).first()
-    tall = clean.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in present]))
-    )
-    inside = F.lit(False)
-    before = F.lit(0).cast("long")
-    total = F.lit(0).cast("long")
-    for c in present:
-        is_c = F.col("name") == c
-        inside = F.when(is_c, F.col("value").between(*edges[c])).otherwise(inside)
-        before = F.when(is_c, F.lit(below[c])).otherwise(before)
-        total = F.when(is_c, F.lit(bounds[f"n_{c}"])).otherwise(total)
+    # One small row per column: its rank offset and its number of values.
+    middle_values = [
+        F.struct(
+            F.lit(c).alias("name"),
+            F.when(F.col(c).between(*edges[c]), F.col(c)).alias("value"),
+            F.lit(below[c]).alias("before"),
+            F.lit(bounds[f"n_{c}"]).alias("total"),
+        )
+        for c in present
+    ]
     running = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        tall.where(inside)
-        .groupBy("name", "value")
+        clean.select(F.inline(F.array(*middle_values)))
+        .where(F.col("value").isNotNull())
+        .groupBy("name", "value", "before", "total")
         .agg(count_rows().alias("n"))
-        .withColumn("last", F.sum("n").over(running) + before)
+        .withColumn("last", F.sum("n").over(running) + F.col("before"))
         .withColumn("first", F.col("last") - F.col("n") + 1)
     )
-    low_rank, high_rank = F.floor((total + 1) / 2), F.floor(total / 2) + 1
-    middle = ranked.groupBy("name").agg(
+    low_rank, high_rank = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    found = ranked.groupBy("name").agg(
         F.max(F.when(F.col("first") <= low_rank, F.col("value"))).alias("low"),
         F.max(F.when(F.col("first") <= high_rank, F.col("value"))).alias("high"),
     )
-    return {r["name"]: (r["low"] + r["high"]) / 2.0 for r in middle.collect()}
+    return {r["name"]: (r["low"] + r["high"]) / 2.0 for r in found.collect()}

@@ -81,6 +81,17 @@ def upsert_history(
     key is a hash of the day: only the batch's days are then read. Without it, the key
     and time columns of the whole history are searched for the batch's keys.
     """
+    # The checks and the write must see the same rows, ingestion instant included.
+    held = batch.select(*schema.names).persist()
+    try:
+        return _upsert(held, root, schema, key, time, code, key_fixes_day)
+    finally:
+        held.unpersist()
+
+
+def _upsert(
+    batch: DataFrame, root: str, schema: T.StructType, key: str, time: str, code: str, key_fixes_day: bool
+) -> int:
     spark = batch.sparkSession
     assert_batch_keys(batch, key)
     version, days = live_days(spark, root)
@@ -92,7 +103,7 @@ def upsert_history(
     assert_no_dup(target, batch, key)
 
     load = version + 1
-    merged = merge_upsert(target, batch.select(*schema.names), key).withColumn("day", F.to_date(time))
+    merged = merge_upsert(target, batch, key).withColumn("day", F.to_date(time))
     # One shuffle by day whose large days adaptive execution splits into several files.
     (
         merged.hint("rebalance", "day")
