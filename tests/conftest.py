@@ -10,6 +10,6 @@ from skyrisk.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, shuffle_partitions=4, memory="4g")
+    session = local_session(8, shuffle_partitions=2, memory="4g")
     yield session
     session.stop()

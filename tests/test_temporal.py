@@ -12,7 +12,7 @@ from skyrisk.operators.joins import asof_join, broadcast_if_small, latest_where_
 from skyrisk.operators.windows import dedupe_latest, gated, over, rolling_days
 
 DAY0 = date(2024, 1, 1)
-few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def plan_of(df):
