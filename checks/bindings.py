@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date
 from functools import cached_property, lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyrisk import schemas
@@ -68,6 +68,12 @@ GUESS = (
 )
 
 
+def _code(number: str) -> Column:
+    """At least five digits; lpad alone would cut longer numbers."""
+    text = F.col(number).cast("string")
+    return F.when(F.col(number) < 100_000, F.lpad(text, 5, "0")).otherwise(text)
+
+
 class Lake:
     """Lazy frames over one folder of driver tables."""
 
@@ -91,13 +97,13 @@ class Lake:
             F.col("n_name").alias("departement"),
             F.expr(AREA_OF_NATION.format("n_nationkey", "STRING")).alias("numero_departement"),
             F.format_string("service %d", "r_regionkey").alias("service"),
-            F.format_string("%05d", "s_suppkey").alias("code_insee"),
+            _code("s_suppkey").alias("code_insee"),
             (F.col("s_acctbal") >= 0).alias("centroide"),
         )
 
     @cached_property
     def raw_weather(self) -> DataFrame:
-        code = F.format_string("%05d", "l_suppkey")
+        code = _code("l_suppkey")
         day = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
         return self.table("lineitem").select(
             F.col("l_shipdate").cast("timestamp").alias("time"),

@@ -45,8 +45,9 @@ def build(
     publish("dim_commune", marts.dim_point(points))
     areas = publish("dim_departement", marts.dim_area(points))
     small_areas = broadcast_if_small(areas)
+    names = broadcast_if_small(marts.area_names(points))
     # Read by the danger table and by the model features: computed once when written.
-    area_day = publish("int_meteo_departement_jour", marts.weather_by_area_day(observations))
+    area_day = publish("int_meteo_departement_jour", marts.weather_by_area_day(observations, names))
     publish("dim_date", marts.dim_date(marts.date_bounds(observations, bulletins)))
     publish("fact_meteo", marts.fact_weather(observations))
     danger = publish("fact_danger_incendie", marts.fact_danger(bulletins))

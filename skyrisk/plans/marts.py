@@ -65,19 +65,22 @@ def fact_weather(observations: DataFrame) -> DataFrame:
     )
 
 
-def weather_by_area_day(observations: DataFrame) -> DataFrame:
-    """Area-days.
+def area_names(points: DataFrame) -> DataFrame:
+    """One name and region per area code; min makes the choice deterministic."""
+    return points.groupBy(*AREA).agg(F.min("departement").alias("departement"), F.min("region").alias("region"))
+
+
+def weather_by_area_day(observations: DataFrame, names: DataFrame) -> DataFrame:
+    """Area-days, named by :func:`area_names`.
 
     The measures and the exact count of points are two aggregations. In one, Spark would
     shuffle every measure of every point for the sake of the distinct count; apart, the
     measures leave each task already reduced to area-days, and only (area, day, point)
-    keys are shuffled to be counted. The two small results are then put side by side.
+    keys are shuffled to be counted. Names are joined afterwards: aggregating text would
+    turn the hash aggregation of the observations into a sort.
     """
     keys = ["date", *AREA]
     measures = observations.groupBy(*keys).agg(
-        # Names depend on the area code, so any value will do; min is deterministic.
-        F.min("departement").alias("departement"),
-        F.min("region").alias("region"),
         all_complete(POINT_REQUIRED).alias("mesures_completes"),
         F.avg("temperature_moyenne").alias("temperature_moyenne"),
         F.min("temperature_minimale").alias("temperature_minimale"),
@@ -90,13 +93,18 @@ def weather_by_area_day(observations: DataFrame) -> DataFrame:
         F.avg("couverture_nuageuse_moyenne").alias("couverture_nuageuse_moyenne"),
         F.max("deficit_pression_vapeur_maximal").alias("deficit_pression_vapeur_maximal"),
     )
-    points = observations.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.count_distinct("code_insee").alias("nombre_points_meteo")
+    points = observations.groupBy(*keys).agg(F.count_distinct("code_insee").alias("nombre_points_meteo"))
+    values = [c for c in measures.columns if c not in keys]
+    # Grouping, unlike a join, also puts together the two rows of an area without code.
+    area_days = (
+        measures.unionByName(points, allowMissingColumns=True)
+        .groupBy(*keys)
+        .agg(*[F.max(c).alias(c) for c in ("nombre_points_meteo", *values)])
+    )
+    named = names.select(F.col(AREA[0]).alias("_area"), "departement", "region")
+    return area_days.join(named, F.col(AREA[0]).eqNullSafe(F.col("_area")), "left").select(
+        *keys, "departement", "region", "nombre_points_meteo", *values
     )
-    # Null-safe, so that an area without a code keeps its row, as a plain grouping would.
-    same = all_of([F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    others = [c for c in measures.columns if c not in (*keys, "departement", "region")]
-    return measures.join(points, same).select(*keys, "departement", "region", "nombre_points_meteo", *others)
 
 
 # --- Dimensions -------------------------------------------------------------------------

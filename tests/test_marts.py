@@ -80,8 +80,10 @@ def test_a_hole_makes_the_area_day_incomplete(spark):
 
 
 def test_an_area_without_code_keeps_its_row(spark):
-    observed = marts.enrich_points(staging.stage_weather(history(spark)), points(spark, ["a1", "b1"], [None, "2A"]))
-    assert marts.weather_by_area_day(observed).where("numero_departement is null").count() == 10
+    seed = points(spark, ["a1", "b1"], [None, "2A"])
+    observed = marts.enrich_points(staging.stage_weather(history(spark)), seed)
+    lost = marts.weather_by_area_day(observed, marts.area_names(seed)).where("numero_departement is null")
+    assert rows(lost, "date", "nombre_points_meteo", "departement") == [(day(n), 1, "Département None") for n in range(10)]
 
 
 def test_repeated_loads_keep_the_latest(spark):
