@@ -550,6 +550,16 @@ def fk_violations(x: Lake) -> DataFrame:
     return joins.orphans(lines, x.table("orders"), "l_orderkey", "o_custkey")
 
 
+@query(
+    [],
+    "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_custkey FROM orders)",
+)
+def known_keys(x: Lake) -> DataFrame:
+    """Lines whose order number is also a customer number."""
+    lines = x.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return joins.keep_known(lines, x.table("orders"), "l_orderkey", "o_custkey")
+
+
 # --- Upsert and landing -----------------------------------------------------------------
 
 
