@@ -83,7 +83,8 @@ def test_an_area_without_code_keeps_its_row(spark):
     seed = points(spark, ["a1", "b1"], [None, "2A"])
     observed = marts.enrich_points(staging.stage_weather(history(spark)), seed)
     lost = marts.weather_by_area_day(observed, marts.area_names(seed)).where("numero_departement is null")
-    assert rows(lost, "date", "nombre_points_meteo", "departement") == [(day(n), 1, "Département None") for n in range(10)]
+    assert {r["date"] for r in lost.collect()} == {day(n) for n in range(10)}
+    assert set(rows(lost, "nombre_points_meteo", "departement")) == {(1, "Département None")}
 
 
 def test_repeated_loads_keep_the_latest(spark):
