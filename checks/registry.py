@@ -811,7 +811,7 @@ _LATEST = """SELECT {columns} FROM features WHERE meteo_disponible AND meteo_dat
     _SNAPSHOT_FLOATS,
 )
 def latest_complete_snapshot(x: Lake) -> DataFrame:
-    """Empty while no day has a complete window in every area, as at the smallest scales."""
+    """Empty on the driver tables, where no day has a complete window in every area."""
     return model.latest_complete_snapshot(x.tables["ml_features_incendie"], x.tables["dim_departement"])
 
 
