@@ -17,14 +17,15 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from skyrisk.llm.texts import per_text
 
 SPACE = "▁"  # the library's mark for a space
 CACHE_PARTS = 600_000  # remembered parts per task; forgotten together, never wrong
@@ -205,36 +206,10 @@ def codec(model: str) -> Codec:
     return Codec(model)
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch in slices of about `limit` text bytes, so that memory is bounded by
-    the limit and the longest text."""
-    column = batch.column(batch.schema.get_field_index(text))
-    sizes = np.asarray(pa.compute.binary_length(column).fill_null(0))
-    ends = np.cumsum(sizes, dtype=np.int64) // limit
-    edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
-def per_text(
-    df: DataFrame, key: str, text: str, schema: str, rows: Callable[[list, list[str]], dict[str, list]]
-) -> DataFrame:
-    """Apply `rows(keys, texts)` to slices of the table; null texts arrive as empty."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                out = rows(part.column(0).to_pylist(), part.column(1).fill_null("").to_pylist())
-                yield pa.RecordBatch.from_pydict(out)
-
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
-
-
 def encode_decode(df: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids (with begin and end) and the decoded text of every row."""
 
-    def rows(keys: list, texts: list[str]) -> dict[str, list]:
+    def rows(texts: list[str]) -> dict:
         c = codec(model)
         packed = c.encode(texts)
         ids = [i.tolist() for i in packed]
@@ -245,11 +220,9 @@ def encode_decode(df: DataFrame, model: str, key: str = "doc_id", text: str = "t
                 raise ValueError("decoding and the library differ")
         edges = np.cumsum([0, *map(len, packed)], dtype=np.int32)
         flat = pa.array(np.concatenate(packed).astype(np.int32))
-        return {"key": keys, "ids": pa.ListArray.from_arrays(edges, flat), "decoded": pa.array(decoded, pa.string())}
+        return {"ids": pa.ListArray.from_arrays(edges, flat), "decoded": pa.array(decoded, pa.string())}
 
-    key_type = df.schema[key].dataType.simpleString()
-    out = per_text(df, key, text, f"key {key_type}, ids array<int>, decoded string", rows)
-    return out.withColumnRenamed("key", key)
+    return per_text(df, key, text, "ids array<int>, decoded string", rows)
 
 
 def token_digests(df: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
