@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import lru_cache, wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import pieces
+from skyrisk.llm import pieces, secrets
+from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -14,8 +20,30 @@ ORACLES: dict[str, str] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
+    @wraps(f)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return f(spark, folder)
+
+    QUERIES[f.__name__] = run
+    return run
+
+
+@lru_cache(maxsize=8)
+def _shipped(application: str) -> str:
+    """This package as one archive, for workers that do not share the driver's path."""
+    root = Path(__file__).resolve().parents[1]
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp()), f"{root.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    return archive
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the code to the executors; Spark does so once per file name."""
+    pin_settings(spark)
+    spark.sparkContext.addPyFile(_shipped(spark.sparkContext.applicationId))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,3 +60,8 @@ def piece_model() -> str:
 @query
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.token_digests(table(spark, folder, "documents"), piece_model())
+
+
+@query
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(table(spark, folder, "documents"))
