@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import pieces, secrets
+from skyrisk.llm import pieces, quality, secrets
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,9 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(table(spark, folder, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.score(documents, quality.fit(documents, labels))
