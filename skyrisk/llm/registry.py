@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import pieces, quality, secrets
+from skyrisk.llm import pieces, quality, secrets, toxicity
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,9 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality.score(documents, quality.fit(documents, labels))
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.score(documents, toxicity.fit(documents, labels))
