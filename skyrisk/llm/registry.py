@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import pieces, quality, secrets, toxicity
+from skyrisk.llm import neardup, pieces, quality, secrets, toxicity
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,8 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return toxicity.score(documents, toxicity.fit(documents, labels))
+
+
+@query
+def op10_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.groups(table(spark, folder, "documents"), size=2, percent=80)
