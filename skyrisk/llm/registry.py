@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import neardup, pieces, quality, secrets, toxicity
+from skyrisk.llm import decontaminate, neardup, pieces, quality, secrets, toxicity, warc
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,13 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.groups(table(spark, folder, "documents"), size=2, percent=80)
+
+
+@query
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, folder, "pages")))
