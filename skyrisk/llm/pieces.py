@@ -24,6 +24,7 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skyrisk.llm.texts import per_text
 
@@ -244,3 +245,10 @@ def token_digests(df: DataFrame, model: str, key: str = "doc_id", text: str = "t
     key_type = df.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return encode_decode(df, model, key, text).mapInArrow(digests, schema)
+
+
+def token_rows(df: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, n_tokens, ids, decoded_sha256 of every row."""
+    return encode_decode(df, model, key, text).select(
+        key, F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
