@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import decontaminate, neardup, pieces, quality, secrets, toxicity, warc
+from skyrisk.llm import decontaminate, neardup, neighbours, pieces, quality, secrets, toxicity, warc
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,8 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.derive(warc.responses(table(spark, folder, "pages")))
+
+
+@query
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"))
