@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import decontaminate, neardup, neighbours, pieces, quality, secrets, toxicity, warc
+from skyrisk.llm import decontaminate, lm, neardup, neighbours, pieces, quality, secrets, toxicity, warc
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,11 +50,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def piece_model() -> str:
-    """The vocabulary file of the machine; the operators take any path."""
+def public_tokenizer(name: str) -> str:
+    """A vocabulary file of this machine; the operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
+
+
+def piece_model() -> str:
+    return public_tokenizer("piece_bpe_32k.model")
 
 
 @query
@@ -97,3 +101,8 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"))
+
+
+@query
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents"), public_tokenizer("word_bpe_49k.json"))
