@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyrisk.llm import decontaminate, lm, neardup, neighbours, pieces, quality, secrets, toxicity, warc
+from skyrisk.llm import decontaminate, lm, neardup, neighbours, pieces, quality, repeats, secrets, toxicity, warc
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,8 @@ def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(table(spark, folder, "documents"), public_tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(table(spark, folder, "documents"))
