@@ -119,7 +119,8 @@ class LabelModel:
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         ratio = np.log(self.rates[1] / self.rates[0]) * self.discount
-        logit = np.log(self.prior / (1 - self.prior)) + (votes > 0) @ ratio[1] + (votes < 0) @ ratio[0]
+        silent = np.log((1 - self.rates[1].sum(0)) / (1 - self.rates[0].sum(0))) * self.discount
+        logit = np.log(self.prior / (1 - self.prior)) + (votes > 0) @ ratio[1] + (votes < 0) @ ratio[0] + (votes == 0) @ silent
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
@@ -128,14 +129,14 @@ def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> LabelM
     The other votes that vary together within a class count for less: m alike voters have
     the weight of the square root of m."""
     n, m = votes.shape
-    model = LabelModel(prior, np.full((2, 2, m), 0.5), np.ones(m))
+    model = LabelModel(prior, np.full((2, 2, m), 1 / 3), np.ones(m))
     strength = votes.clip(0, 1).sum(1) - 2.0 * votes.clip(-1, 0).__neg__().sum(1)
     p = 1 / (1 + np.exp(-np.clip(2.0 * strength + 6.0 * votes[:, -1], -30, 30)))
     for _ in range(rounds):
         weights = np.stack([1 - p, p])
         for sign, s in ((1, 1), (0, -1)):
             fired = weights @ (votes == s)
-            model.rates[:, sign] = (fired + 0.5) / (weights.sum(1)[:, None] + 1.0)
+            model.rates[:, sign] = (fired + 0.5) / (weights.sum(1)[:, None] + 1.5)
         together = np.zeros((m, m))
         for w in weights:
             mean = w @ votes / max(w.sum(), 1e-9)
