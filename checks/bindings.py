@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from skyrisk import schemas
 from skyrisk.functions.keys import iso_utc, make_id, sha256_hex
-from skyrisk.operators.joins import broadcast_if_small
 from skyrisk.plans import build, explore, model
 from skyrisk.session import pin_settings
 
@@ -137,7 +136,7 @@ class Lake:
     @cached_property
     def explored(self) -> DataFrame:
         return explore.with_areas(
-            self.tables["fact_danger_incendie"], broadcast_if_small(self.tables["dim_departement"])
+            self.tables["fact_danger_incendie"], self.tables["dim_departement"]
         )
 
     @cached_property

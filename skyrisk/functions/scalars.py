@@ -22,9 +22,25 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+# Decimal literals, and the words for what is no number. A plain cast also takes type
+# suffixes (2d, 2f) and hexadecimal floats, which no source means.
+NUMBER = r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+
+
 def safe_double(value: Column | str) -> Column:
-    """Double, or null when the text is not a number."""
-    return _col(value).try_cast("double")
+    """Double, or null when the text is not a number. Typed numbers are only cast: the type
+    is a constant that is asked first, so the pattern is left alone."""
+    value = _col(value)
+    literal = (F.typeof(value) != "string") | value.cast("string").rlike(NUMBER)
+    return F.when(literal, value.try_cast("double"))
+
+
+def strict_double(value: Column | str) -> Column:
+    """Double; text that is not a number fails the job."""
+    value = _col(value)
+    number = safe_double(value)
+    failure = F.raise_error(F.concat(F.lit("Not a number: "), value.cast("string")))
+    return F.when(value.isNull() | number.isNotNull(), number).otherwise(failure.cast("double"))
 
 
 def safe_long(value: Column | str) -> Column:

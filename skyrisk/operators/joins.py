@@ -5,19 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast only after counting that it is small.
-
-    The count stops at ``max_rows + 1``. Beyond the bound the frame is returned as it is
-    and the optimiser picks a shuffled join, whose skew adaptive execution splits. Use it
-    for dimensions derived from joins, whose size the optimiser cannot estimate.
-    """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def with_validity(df: DataFrame, by: list[str], on: str, name: str = "date_suivante") -> DataFrame:
     """Add the next day seen for the same place; the last one is open until 9999-12-31.
 
@@ -36,7 +23,8 @@ def asof_join(
     left_on: str,
     right_on: str,
 ) -> DataFrame:
-    """Left join to the last ``right`` row dated on or before each left day.
+    """Left join to the last ``right`` row dated on or before each left day. A right row
+    without a day precedes nothing.
 
     ``right`` has one row per (``by``, ``right_on``); ``by`` names must be shared. Every
     left row is kept, with nulls when nothing precedes it.
@@ -49,7 +37,8 @@ def asof_join(
     execution on the other.
     """
     payload = [c for c in right.columns if c not in by]
-    known = right.select(*by, F.col(right_on).alias("_day"), F.struct(*payload).alias("_seen"))
+    dated = right.where(F.col(right_on).isNotNull())
+    known = dated.select(*by, F.col(right_on).alias("_day"), F.struct(*payload).alias("_seen"))
     asked = (
         left.select(*by, F.col(left_on).alias("_day"))
         .where(F.col("_day").isNotNull())

@@ -31,7 +31,7 @@ def rolling_days(
     """Add aggregates over the ``days`` calendar days ending at each row.
 
     The frame is a range of days: a missing day shortens the window, it does not reach
-    further back. To keep long histories of one place out of a single task, time is cut
+    further back. Rows without a day are kept; their frame is the other such rows. To keep long histories of one place out of a single task, time is cut
     into buckets; the last ``days - 1`` days of a bucket are also sent to the next one,
     where they feed the frames and are then dropped. A window group holds at most
     ``bucket_days + days - 1`` days of one place.
@@ -45,12 +45,12 @@ def rolling_days(
         "*",
         day.alias("_day"),
         home.alias("_home"),
-        F.explode(F.when(home == reach, F.array(home)).otherwise(F.array(home, reach))).alias("_bucket"),
+        F.explode(F.when(home.isNull() | (home == reach), F.array(home)).otherwise(F.array(home, reach))).alias("_bucket"),
     )
     frame = Window.partitionBy(*by, "_bucket").orderBy("_day").rangeBetween(-(days - 1), 0)
     return (
         copies.select("*", *[make(frame).alias(name) for name, make in columns.items()])
-        .where(F.col("_bucket") == F.col("_home"))
+        .where(F.col("_bucket").eqNullSafe(F.col("_home")))
         .drop("_day", "_home", "_bucket")
     )
 

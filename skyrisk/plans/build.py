@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyrisk.operators.joins import broadcast_if_small
 from skyrisk.plans import marts, staging
 
 # Tables worth writing; the staging ones are cheap projections recomputed by their readers.
@@ -39,23 +38,21 @@ def build(
 
     weather = publish("stg_meteo_journaliere", staging.stage_weather(raw_weather))
     bulletins = publish("stg_meteo_forets", staging.stage_bulletins(raw_bulletins))
-    places = broadcast_if_small(points)
     publish("referentiel_communes", points)
-    observations = publish("int_meteo_communes", marts.enrich_points(weather, places))
+    observations = publish("int_meteo_communes", marts.enrich_points(weather, points))
     publish("dim_commune", marts.dim_point(points))
     areas = publish("dim_departement", marts.dim_area(points))
-    small_areas = broadcast_if_small(areas)
-    names = broadcast_if_small(marts.area_names(points))
+    names = marts.area_names(points)
     # Read by the danger table and by the model features: computed once when written.
     area_day = publish("int_meteo_departement_jour", marts.weather_by_area_day(observations, names))
-    publish("dim_date", marts.dim_date(marts.date_bounds(observations, bulletins)))
-    publish("fact_meteo", marts.fact_weather(observations))
-    danger = publish("fact_danger_incendie", marts.fact_danger(bulletins))
-    publish("pbi_risque_incendie", marts.danger_with_weather(danger, small_areas, area_day))
     # Publication days need neither deduplication nor horizons.
     published = staging.name_bulletins(raw_bulletins)
+    publish("dim_date", marts.dim_date(marts.date_bounds(observations, published)))
+    publish("fact_meteo", marts.fact_weather(observations))
+    danger = publish("fact_danger_incendie", marts.fact_danger(bulletins))
+    publish("pbi_risque_incendie", marts.danger_with_weather(danger, areas, area_day))
     feature_rows = publish("ml_features_incendie", marts.features(area_day, published))
-    publish("ml_train_incendie", marts.training(danger, feature_rows, small_areas))
+    publish("ml_train_incendie", marts.training(danger, feature_rows, areas))
     return tables
 
 

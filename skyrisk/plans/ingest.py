@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyrisk import schemas
 from skyrisk.functions.keys import bulletin_key, normalize_area, weather_key
+from skyrisk.functions.scalars import safe_double
 from skyrisk.operators import quality as Q
 from skyrisk.sources.landing import (
     answers_by_point,
@@ -17,6 +18,7 @@ from skyrisk.sources.landing import (
     flatten_daily,
     parse_payloads,
     payload_rules,
+    unanswered,
     with_ingested_at,
 )
 
@@ -42,7 +44,7 @@ def bulletin_group_rules(areas: int = schemas.AREA_COUNT) -> list[Q.Rule]:
 
 def normalize_bulletins(raw: DataFrame, domain: list[str] | None = None) -> DataFrame:
     def level(column: str) -> Column:
-        return F.col(column).try_cast("double").try_cast("long").alias(column)
+        return safe_double(column).try_cast("long").alias(column)
 
     return raw.select(
         F.col("reference_time").try_cast("timestamp").alias("reference_time"),
@@ -96,6 +98,9 @@ def collect_weather(
         answered = answers_by_point(parse_payloads(payloads), asked)
         Q.check(answered, payload_rules())
         frames.append(flatten_daily(answered, at=at))
+    lost = unanswered(frames[0], frames[1], "batch_id", "code_insee", schemas.REQUIRED_VARIABLES)
+    if examples := lost.limit(3).collect():
+        raise Q.ContractError(f"No substitute for incomplete batches, such as {[tuple(r) for r in examples]}")
     rows = fallback_batch(frames[0], frames[1], "batch_id", schemas.REQUIRED_VARIABLES)
     return rows.select(*schemas.RAW_WEATHER.names)
 

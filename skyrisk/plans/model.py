@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyrisk import schemas
-from skyrisk.functions.scalars import all_of, any_of, is_infinite, is_missing, level_label
+from skyrisk.functions.scalars import all_of, any_of, is_infinite, is_missing, level_label, safe_double
 from skyrisk.operators import quality as Q
 from skyrisk.operators.aggregates import medians
 from skyrisk.operators.joins import latest_where_complete
@@ -42,7 +42,7 @@ def load_training(train: DataFrame) -> DataFrame:
 
 
 def _number(column: str) -> Column:
-    return F.col(column).try_cast("double")
+    return safe_double(column)
 
 
 def _complete() -> Column:
@@ -420,11 +420,11 @@ def prepare_scoring(snapshot: DataFrame) -> DataFrame:
     """One row per area and horizon, from a snapshot of a single day without repeated area."""
     Q.require_columns(snapshot, SNAPSHOT)
     one_day = Q.Rule(
-        "single_day", measure=F.when(F.count_distinct("meteo_date") > 1, 1).otherwise(0)
+        "single_day", measure=F.when(F.count_distinct("meteo_date") != 1, 1).otherwise(0)
     )
     Q.check(
         snapshot,
-        [Q.not_empty(), one_day, Q.unique("numero_departement"), Q.finite(*schemas.WEATHER_FEATURES)],
+        [Q.not_empty(), one_day, *Q.not_null("meteo_date", "numero_departement"), Q.unique("numero_departement"), Q.finite(*schemas.WEATHER_FEATURES)],
     )
     return expand_horizons(snapshot, "meteo_date")
 

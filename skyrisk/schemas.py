@@ -5,6 +5,7 @@ Nothing is inferred from data: every reader takes one of these schemas.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
 from pyspark.sql import types as T
@@ -102,7 +103,12 @@ MODEL_TARGET = "cible_niveau_danger"
 TRAIN_YEARS = (2024, 2025)
 TEST_YEAR = 2026
 TEST_END = date(2026, 10, 2)
-FEATURE_VERSION = "meteo_J-6_a_J_train_2024_2025_test_2026_fin_2026-10-02_v4"
+WINDOW_DAYS = 7
+# Another list of features, window or split gives another version, so that a stored model
+# is never applied to inputs it was not trained on.
+FEATURE_VERSION = hashlib.sha256(
+    repr((MODEL_FEATURES, WINDOW_DAYS, TRAIN_YEARS, TEST_YEAR, TEST_END.isoformat())).encode()
+).hexdigest()[:16]
 
 # Refresh calendar.
 REFRESH_START = date(2026, 8, 1)

@@ -2,16 +2,21 @@
 
 Layout under a root folder::
 
-    data/load=<n>/day=<yyyy-MM-dd>/*.parquet    rows written by load n
+    data/load=<id>/day=<yyyy-MM-dd>/*.parquet   rows written by one load
     manifest/version=<n>/*.parquet              one small file: which load holds each day
 
-A load rewrites only the days it touches. Readers follow the newest manifest, so a load
-that fails before its manifest is written leaves the previous version in place. The
-manifest is one file that the write protocol moves into place in a single step.
+A load rewrites only the days it touches, under an id of its own, so that no two loads
+write to the same place. Readers follow the newest manifest: a load that fails, or that is
+refused because another one was published meanwhile, leaves what is published as it is.
+The manifest is one file, moved into place by the write protocol; that its folder is absent
+is checked before, which is not a compare-and-swap. Two loads that publish the same version
+within that moment need a lock outside; even then the rows of both are on disk.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +34,10 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load was published since this one read the history."""
+
+
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     """The seed of measurement points; codes stay text, with their leading zeros."""
     points = spark.read.csv(path, header=True, schema=schemas.POINTS)
@@ -43,9 +52,12 @@ def live_days(spark: SparkSession, root: str) -> tuple[int, dict]:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return 0, {}
-    newest = manifest.agg(F.max("version")).scalar()
-    rows = manifest.where(F.col("version") == newest).collect()
-    return (rows[0]["version"], {r["day"]: r["load"] for r in rows}) if rows else (0, {})
+    # Folder names give the version; only the newest file is read.
+    newest = manifest.agg(F.max("version")).first()[0]
+    if newest is None:
+        return 0, {}
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest/version={newest}").select("day", "load").collect()
+    return newest, {r["day"]: r["load"] for r in rows}
 
 
 def _read_days(spark: SparkSession, root: str, schema: T.StructType, days: dict) -> DataFrame:
@@ -102,13 +114,13 @@ def _upsert(
     target = _read_days(spark, root, schema, {d: n for d, n in days.items() if d in touched})
     assert_no_dup(target, batch, key)
 
-    load = version + 1
+    load = uuid.uuid4().int >> 65  # a positive long, of this load alone
     merged = merge_upsert(target, batch, key).withColumn("day", F.to_date(time))
     # One shuffle by day whose large days adaptive execution splits into several files.
     (
         merged.hint("rebalance", "day")
         .sortWithinPartitions("day", code)
-        .write.mode("overwrite")
+        .write.mode("errorifexists")
         .partitionBy("day")
         .parquet(f"{root}/data/load={load}")
     )
@@ -119,11 +131,13 @@ def _upsert(
     # A day whose rows all moved to another day has no folder any more.
     held = {r["day"] for r in written.select("day").distinct().collect()}
     current = {d: n for d, n in days.items() if d not in touched} | {d: load for d in held}
+    if live_days(spark, root)[0] != version:
+        raise ConcurrentLoadError(f"Another load was published after version {version}; merge again")
     rows = sorted((d, n) for d, n in current.items())
     (
         spark.createDataFrame(rows, "day date, load long")
         .coalesce(1)
         .write.mode("errorifexists")
-        .parquet(f"{root}/manifest/version={load}")
+        .parquet(f"{root}/manifest/version={version + 1}")
     )
-    return load
+    return version + 1

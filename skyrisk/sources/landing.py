@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from skyrisk import schemas
 from skyrisk.functions.keys import weather_key
-from skyrisk.functions.scalars import any_of, is_missing
+from skyrisk.functions.scalars import any_of, is_missing, safe_double, strict_double
 from skyrisk.operators.quality import ContractError, Rule, row_rule
 from skyrisk.operators.reshape import union_by_name
 
@@ -27,7 +27,7 @@ def coerce_double(df: DataFrame, columns: Sequence[str], mode: str = "raise") ->
     """Columns to double. ``raise``: text that is no number fails the job; ``null``: becomes null."""
     if mode not in ("raise", "null"):
         raise ValueError(f"Unknown mode: {mode}")
-    convert = (lambda c: F.col(c).cast("double")) if mode == "raise" else (lambda c: F.col(c).try_cast("double"))
+    convert = strict_double if mode == "raise" else safe_double
     return df.withColumns({c: convert(c) for c in columns})
 
 
@@ -134,16 +134,30 @@ def fallback_batch(
 ) -> DataFrame:
     """Whole batches from ``secondary`` where the primary lacks any required value.
 
-    The unit is the batch: one missing cell replaces every row of its batch.
+    The unit is the batch: one missing cell replaces every row of its batch. Rows of such
+    a batch that the secondary does not answer are named by :func:`unanswered`.
     """
-    lacking = any_of([is_missing(c) for c in required])
-    state = primary.groupBy(batch_key).agg(F.max(lacking).alias("_lacking"))
-    bad = state.where("_lacking").select(batch_key)
+    bad = _lacking_batches(primary, batch_key, required)
     kept = primary.join(bad, batch_key, "left_anti")
     replaced = secondary.join(bad, batch_key, "left_semi")
     return kept.select(*primary.columns).unionByName(replaced.select(*primary.columns))
 
 
+def _lacking_batches(primary: DataFrame, batch_key: str, required: Sequence[str]) -> DataFrame:
+    lacking = any_of([is_missing(c) for c in required])
+    state = primary.groupBy(batch_key).agg(F.max(lacking).alias("_lacking"))
+    return state.where("_lacking").select(batch_key)
+
+
+def unanswered(
+    primary: DataFrame, secondary: DataFrame, batch_key: str, point: str, required: Sequence[str]
+) -> DataFrame:
+    """(batch, point) of primary rows that fall back but have no secondary row."""
+    bad = _lacking_batches(primary, batch_key, required)
+    asked = primary.join(bad, batch_key, "left_semi").select(batch_key, point).distinct()
+    return asked.join(secondary.select(batch_key, point), [batch_key, point], "left_anti")
+
+
 # --- Validated batches ------------------------------------------------------------------
 
 

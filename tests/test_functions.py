@@ -104,3 +104,16 @@ def test_medians_are_exact(spark):
     assert found == {"a": float(np.median([r[0] for r in data])), "b": float(np.median([r[1] for r in data])), "c": 1.0}
     assert medians(spark.createDataFrame([(1.0,), (2.0,)], "a double"), ["a"]) == {"a": 1.5}
     assert rows(df.limit(0)) == []
+
+
+def test_only_decimal_literals_are_numbers(spark):
+    good = ["1", " 2.5 ", "-.5", "+3.", "1e3", "1E-2", "nan", "-Infinity"]
+    bad = ["2d", "2f", "0x1p1", "1_0", "", "e5", ".", "1,5", "--1", "1e"]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad, None]], "t string")
+    kept = {r["t"] for r in df.where(scalars.safe_double("t").isNotNull()).collect()}
+    assert kept == set(good)
+    typed = spark.createDataFrame([(2.0,), (None,), (float("nan"),)], "v double")
+    assert typed.where(scalars.safe_double("v").isNull()).count() == 1
+    for text in bad:
+        with pytest.raises(Exception, match="Not a number"):
+            spark.createDataFrame([(text,)], "t string").select(scalars.strict_double("t")).collect()

@@ -13,7 +13,8 @@ from skyrisk import schemas
 from skyrisk.operators.quality import ContractError
 from skyrisk.operators.upsert import assert_batch_keys, assert_no_dup, merge_upsert
 from skyrisk.plans.ingest import prepare_bulletins
-from skyrisk.sources.history import live_days, read_history, upsert_history
+from skyrisk.sources import history
+from skyrisk.sources.history import ConcurrentLoadError, live_days, read_history, upsert_history
 from skyrisk.streaming.refresh import refresh_bulletins
 
 D1, D2, D3 = date(2026, 8, 1), date(2026, 8, 2), date(2026, 8, 3)
@@ -62,7 +63,8 @@ def test_history_updates_inserts_and_prunes(spark, tmp_path):
     assert get(spark, root, start=D2) == everything[2:]
     assert get(spark, root, end=D1) == everything[:2]
     # Only the touched days were written again.
-    assert live_days(spark, root) == (2, {D1: 2, D2: 1, D3: 2})
+    version, loads = live_days(spark, root)
+    assert version == 2 and loads[D1] == loads[D3] != loads[D2]
     stored = read_history(spark, root, schemas.RAW_WEATHER)
     assert stored.schema == schemas.RAW_WEATHER
     assert {r["row_hash"] for r in stored.collect()} == {r["row_hash"] for r in raw_weather(
@@ -131,5 +133,22 @@ def test_refresh_takes_each_file_once_and_stops_on_a_bad_one(spark, tmp_path):
 def test_days_have_their_own_folder(spark, tmp_path):
     root = str(tmp_path / "h")
     put(raw_weather(spark, [(D1 + timedelta(i), "a", {}) for i in range(3)]), root)
-    names = sorted(p.name for p in (tmp_path / "h" / "data" / "load=1").iterdir() if p.name.startswith("day="))
+    names = sorted(p.name for p in (tmp_path / "h" / "data").glob("load=*/day=*"))
     assert names == ["day=2026-08-01", "day=2026-08-02", "day=2026-08-03"]
+
+
+def test_a_refused_load_leaves_what_is_published(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "h")
+    put(raw_weather(spark, [(D1, "a", {})]), root)
+    seen = live_days(spark, root)
+    put(raw_weather(spark, [(D1, "a", {"rain_sum": 2.0})]), root)
+    published = get(spark, root)
+    # Another load that read the history before that one was published.
+    states = iter([seen])
+    monkeypatch.setattr(history, "live_days", lambda *a: next(states, live_days(*a)))
+    with pytest.raises(ConcurrentLoadError):
+        put(raw_weather(spark, [(D1, "a", {"rain_sum": 9.0}), (D2, "b", {})]), root)
+    monkeypatch.undo()
+    assert get(spark, root) == published and live_days(spark, root)[0] == 2
+    assert put(raw_weather(spark, [(D2, "b", {})]), root) == 3
+    assert len(get(spark, root)) == 2

@@ -157,7 +157,7 @@ def test_weather_day_is_accepted_and_its_faults_refused(spark):
 def test_text_in_a_measure_fails_or_becomes_null(spark):
     df = spark.createDataFrame([("1.5",), ("x",)], "v string")
     assert rows(landing.coerce_double(df, ["v"], "null")) == sorted([(1.5,), (None,)], key=repr)
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="Not a number"):
         landing.coerce_double(df, ["v"]).collect()
 
 
@@ -181,3 +181,13 @@ def test_point_seed(spark, tmp_path):
     enforce(validate(seed, ingest.point_rules(1)))
     with pytest.raises(ContractError, match="row_count"):
         enforce(validate(seed, ingest.point_rules()))
+
+
+def test_a_lacking_batch_without_substitute_is_named(spark):
+    primary = spark.createDataFrame([(1, "a", 1.0), (1, "b", None), (2, "c", 1.0), (3, "d", None)], "batch_id int, code_insee string, v double")
+    secondary = spark.createDataFrame([(1, "a", 5.0), (2, "c", 9.0)], primary.schema)
+    lost = landing.unanswered(primary, secondary, "batch_id", "code_insee", ["v"])
+    assert rows(lost, "batch_id", "code_insee") == [(1, "b"), (3, "d")]
+    whole = spark.createDataFrame([(1, "a", 5.0), (1, "b", 6.0), (3, "d", 7.0)], primary.schema)
+    assert landing.unanswered(primary, whole, "batch_id", "code_insee", ["v"]).isEmpty()
+    assert rows(landing.fallback_batch(primary, whole, "batch_id", ["v"])) == [(1, "a", 5.0), (1, "b", 6.0), (2, "c", 1.0), (3, "d", 7.0)]
