@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -169,3 +171,18 @@ def _medians(clean: DataFrame, columns: Sequence[str], spread: float) -> dict[st
         F.max(F.when(F.col("first") <= high_rank, F.col("value"))).alias("high"),
     )
     return {r["name"]: (r["low"] + r["high"]) / 2.0 for r in found.collect()}
+
+
+def count_apart(df: DataFrame, by: list[str], plain: list[Column], distinct: dict[str, Column]) -> DataFrame:
+    """Aggregates of groups with several distinct counts, without multiplying the rows.
+
+    Together, distinct counts make Spark send every row once per counted column. Apart, each
+    column is pruned and deduplicated before its shuffle, and the parts, one row per group,
+    are put side by side by one more grouping, which keeps a null group.
+    """
+    parts = [df.groupBy(*by).agg(*plain)]
+    for name, column in distinct.items():
+        pairs = df.select(*by, column.alias(name)).distinct()
+        parts.append(pairs.groupBy(*by).agg(F.count(name).alias(name)))
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return every.groupBy(*by).agg(*[F.max(c).alias(c) for c in every.columns if c not in by])

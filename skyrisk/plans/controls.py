@@ -11,32 +11,38 @@ from pyspark.sql import functions as F
 from skyrisk.functions.dates import local_day
 from skyrisk.functions.keys import make_id
 from skyrisk.functions.scalars import all_of, pct
-from skyrisk.operators.aggregates import count_rows
+from skyrisk.operators.aggregates import count_apart, count_rows
 from skyrisk.operators.reshape import calendar, side_by_side
 
 
 def state_weather(raw: DataFrame) -> DataFrame:
     day = F.to_date("time")
-    return raw.agg(
+    plain = [
         count_rows().alias("lignes"),
-        F.count_distinct("row_hash").alias("cles_uniques"),
         F.count_if(F.col("row_hash").isNull()).alias("hash_manquants"),
-        F.count_distinct(day).alias("jours"),
         F.min(day).alias("premiere_date"),
         F.max(day).alias("derniere_date"),
+    ]
+    return count_apart(raw, [], plain, {"cles_uniques": F.col("row_hash"), "jours": day}).select(
+        "lignes", "cles_uniques", "hash_manquants", "jours", "premiere_date", "derniere_date"
     )
 
 
 def state_bulletins(raw: DataFrame) -> DataFrame:
     day = F.to_date("reference_time")
-    return raw.agg(
+    plain = [
         count_rows().alias("lignes"),
-        F.count_distinct(make_id("reference_time", F.trim("dep_code"))).alias("cles_metier_uniques"),
         F.count_if(F.col("row_hash").isNull()).alias("hash_manquants"),
-        F.count_distinct("reference_time").alias("publications"),
-        F.count_distinct("dep_code").alias("departements"),
         F.min(day).alias("premiere_date"),
         F.max(day).alias("derniere_date"),
+    ]
+    distinct = {
+        "cles_metier_uniques": make_id("reference_time", F.trim("dep_code")),
+        "publications": F.col("reference_time"),
+        "departements": F.col("dep_code"),
+    }
+    return count_apart(raw, [], plain, distinct).select(
+        "lignes", "cles_metier_uniques", "hash_manquants", "publications", "departements", "premiere_date", "derniere_date"
     )
 
 
@@ -57,11 +63,9 @@ def incomplete_days(raw: DataFrame, expected: int | Column) -> DataFrame:
     Rows are aggregated by day before meeting the calendar.
     """
     counts = ["lignes", "cles_uniques", "communes"]
-    per_day = raw.groupBy(F.to_date("time").alias("date_observation")).agg(
-        F.count("code_insee").alias("lignes"),
-        F.count_distinct("row_hash").alias("cles_uniques"),
-        F.count_distinct("code_insee").alias("communes"),
-    )
+    dated = raw.select(F.to_date("time").alias("date_observation"), "code_insee", "row_hash")
+    distinct = {"cles_uniques": F.col("row_hash"), "communes": F.col("code_insee")}
+    per_day = count_apart(dated, ["date_observation"], [F.count("code_insee").alias("lignes")], distinct)
     every = _with_all_days(per_day.where(F.col("date_observation").isNotNull()), "date_observation")
     return every.fillna(0, counts).where(_differs(counts, expected)).orderBy(F.col("date_observation").desc())
 
@@ -106,11 +110,8 @@ def freshness(raw: DataFrame, now: Column) -> DataFrame:
 def incomplete_bulletins(bulletins: DataFrame, expected: int) -> DataFrame:
     """Publications without exactly the expected areas, after deduplication."""
     counts = ["lignes", "cles_uniques", "departements"]
-    per_bulletin = bulletins.groupBy("reference_time").agg(
-        count_rows().alias("lignes"),
-        F.count_distinct("row_hash").alias("cles_uniques"),
-        F.count_distinct("numero_departement").alias("departements"),
-    )
+    distinct = {"cles_uniques": F.col("row_hash"), "departements": F.col("numero_departement")}
+    per_bulletin = count_apart(bulletins, ["reference_time"], [count_rows().alias("lignes")], distinct)
     return per_bulletin.where(_differs(counts, expected)).orderBy(F.col("reference_time").desc())
 
 
