@@ -120,13 +120,17 @@ def coverage(df: DataFrame, keys: list[str], member: str, name: str) -> DataFram
     return counts.where(F.col(name) != total)
 
 
+MIDDLE_ROWS = 100_000  # rows around a median that one task may rank
+
+
 def medians(df: DataFrame, columns: Sequence[str], spread: float = 0.001) -> dict[str, float]:
     """Exact medians of several columns without gathering any column in one place.
 
-    Approximate quantiles just below and above the middle bound each median; the rows
-    below the lower bound are counted, and only the values between the bounds, counted by
-    value, are ranked. Nulls and NaN are ignored; a column without values gives no entry.
-    The columns are persisted for the three passes.
+    Approximate quantiles just below and above the middle bound each median, and are taken
+    again between the bounds until at most ``MIDDLE_ROWS`` rows, or one value, lie there.
+    The rows below the lower bound are counted, and only the values between the bounds,
+    counted by value, are ranked. Nulls and NaN are ignored; a column without values gives
+    no entry. The columns are persisted for the passes.
     """
     clean = df.select(*[F.when(~is_missing(c), F.col(c).cast("double")).alias(c) for c in columns]).persist()
     try:
@@ -145,7 +149,29 @@ def _medians(clean: DataFrame, columns: Sequence[str], spread: float) -> dict[st
     if not present:
         return {}
     edges = {c: tuple(bounds[f"q_{c}"]) for c in present}
-    below = clean.agg(*[F.count_if(F.col(c) < edges[c][0]).alias(c) for c in present]).first()
+    below, wide = {}, present
+    while wide:
+        seen = clean.agg(
+            *[F.count_if(F.col(c) < edges[c][0]).alias(f"b_{c}") for c in wide],
+            *[F.count_if(F.col(c).between(*edges[c])).alias(f"i_{c}") for c in wide],
+        ).first()
+        below |= {c: seen[f"b_{c}"] for c in wide}
+        wide = [c for c in wide if seen[f"i_{c}"] > MIDDLE_ROWS and edges[c][0] < edges[c][1]]
+        if wide:
+            # Where the middle ranks lie between the bounds, and a little to either side.
+            at = {c: ((bounds[f"n_{c}"] + 1) / 2 - below[c]) / seen[f"i_{c}"] for c in wide}
+            near = clean.agg(
+                *[
+                    F.percentile_approx(
+                        F.when(F.col(c).between(*edges[c]), F.col(c)),
+                        F.array(F.lit(max(0.0, at[c] - 2 * spread)), F.lit(min(1.0, at[c] + 2 * spread))),
+                        10_000,
+                    ).alias(c)
+                    for c in wide
+                ]
+            ).first()
+            wide = [c for c in wide if tuple(near[c]) != edges[c]]
+            edges |= {c: tuple(near[c]) for c in wide}
     # One small row per column: its rank offset and its number of values.
     middle_values = [
         F.struct(

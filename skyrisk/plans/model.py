@@ -313,19 +313,20 @@ class DangerModel:
         return rows.orderBy(F.col("importance").desc(), "variable")
 
 
-def train_forest(train: DataFrame, **options) -> DangerModel:
-    return DangerModel(_fit([_assembler(), forest(**options)], train), Imputer.fit(train))
+def train_forest(train: DataFrame, imputer: Imputer | None = None, **options) -> DangerModel:
+    """A forest; an imputer fitted on the same rows may be shared between models."""
+    return DangerModel(_fit([_assembler(), forest(**options)], train), imputer or Imputer.fit(train))
 
 
-def train_tree(train: DataFrame) -> DangerModel:
-    return DangerModel(_fit([_assembler(), tree()], train), Imputer.fit(train))
+def train_tree(train: DataFrame, imputer: Imputer | None = None) -> DangerModel:
+    return DangerModel(_fit([_assembler(), tree()], train), imputer or Imputer.fit(train))
 
 
-def train_logistic(train: DataFrame) -> DangerModel:
+def train_logistic(train: DataFrame, imputer: Imputer | None = None) -> DangerModel:
     # Balanced weights sum to the number of rows.
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     stages = [_assembler(), scaler, logistic(float(train.count()))]
-    return DangerModel(_fit(stages, train), Imputer.fit(train))
+    return DangerModel(_fit(stages, train), imputer or Imputer.fit(train))
 
 
 def split_parts(df: DataFrame, split: Split = Split()) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -373,11 +374,12 @@ def train_and_evaluate(df: DataFrame, split: Split = Split(), **options) -> Eval
 def compare_models(df: DataFrame, split: Split = Split(), **options) -> DataFrame:
     """Accuracy and macro F1 of the baseline, logistic, tree and forest models on the same split."""
     _, train, test = split_parts(df, split)
+    imputer = Imputer.fit(train)
     predictions = {
         "classe majoritaire": majority_predictions(train, test),
-        "régression logistique": train_logistic(train).predict(test),
-        "arbre de décision": train_tree(train).predict(test),
-        "forêt aléatoire": train_forest(train, **options).predict(test),
+        "régression logistique": train_logistic(train, imputer).predict(test),
+        "arbre de décision": train_tree(train, imputer).predict(test),
+        "forêt aléatoire": train_forest(train, imputer, **options).predict(test),
     }
     result = None
     for name, predicted in predictions.items():

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skyrisk import schemas
 from skyrisk.functions import dates, keys, scalars
+from skyrisk.operators import aggregates
 from skyrisk.operators.aggregates import medians
 from skyrisk.operators.reshape import calendar
 
@@ -106,6 +107,16 @@ def test_medians_are_exact(spark):
     assert rows(df.limit(0)) == []
 
 
+def test_a_wide_middle_is_narrowed(spark, monkeypatch):
+    import statistics
+
+    monkeypatch.setattr(aggregates, "MIDDLE_ROWS", 1000)
+    data = [(float((i * 7919) % 4001), float(i % 3)) for i in range(4000)]
+    df = spark.createDataFrame(data, "a double, b double")
+    found = medians(df, ["a", "b"], spread=0.2)
+    assert found == {"a": statistics.median(r[0] for r in data), "b": 1.0}
+
+
 def test_only_decimal_literals_are_numbers(spark):
     good = ["1", " 2.5 ", "-.5", "+3.", "1e3", "1E-2", "nan", "-Infinity"]
     bad = ["2d", "2f", "0x1p1", "1_0", "", "e5", ".", "1,5", "--1", "1e"]
