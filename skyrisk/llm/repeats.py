@@ -1,7 +1,7 @@
 """Repeated byte strings by a sampled, distributed suffix array.
 
 A string of `length` bytes that occurs twice has the same anchors in both places: positions
-whose run of `length // 8` bytes has the least hash among all runs of some window of that
+whose run of a quarter of it has the least hash among all runs of some window of that
 length. So it is enough to sort the suffixes that begin at anchors, and to look a bounded way
 back. Anchors whose run is unique in the corpus cannot lie in a repeated string and go first;
 counting them takes one aggregation. The suffixes of each remaining run are ordered by
@@ -9,10 +9,13 @@ deep-shallow sorting (see `sorting`). For a suffix, its neighbours in that order
 longest continuations; with the common bytes before the anchor they tell how far repeated
 strings reach to either side.
 
-A run found more often than `HOT` times is not brought together. Its windows are taken apart
-by where they begin: strings of one part share a longer core, parts with equal surroundings
-are counted and not compared, and only what differs is sorted by its core. Where a core is
-hot as well, single windows are counted by a 128-bit hash, so no task ever holds a hot group.
+Surroundings of an anchor (all windows that hold its run) that occur as a whole elsewhere need
+no comparison: they are told by a 128-bit hash, counted before the shuffle, and one of each
+kind stands for all. Only surroundings of their own are brought together and sorted, with one
+of each kind. Where a run has more than `HOT` kinds it is not brought together: the windows
+are taken apart by where they begin, into parts whose windows share a longer core, and treated
+likewise under the core; where a core is hot as well, single windows are counted by their
+hashes. So no task ever holds a hot group.
 
 Positions are bytes of UTF-8. Matches stay within a text but may overlap. Equal texts are one
 text with several rows: if long enough, all their bytes are repeated. Null and empty texts,
@@ -31,14 +34,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyrisk.llm import hashing
-from skyrisk.llm.shared import landed
+from skyrisk.llm.shared import landed, small
 from skyrisk.llm.sorting import common, sort_groups
 from skyrisk.llm.texts import slices
 
-HOT = 256  # suffixes of one run, or of one core, that one task compares
+HOT = 256  # kinds of surroundings of one run, or of one core, that one task compares
 PARTS = 16  # parts that the windows around a hot anchor are taken apart into
 
 
+def _run(length: int) -> int:
+    """Bytes of an anchor's run."""
+    return max(1, length // 4)
+
+
 def _sliding(a: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
     """Least or greatest value of every run of `size` values."""
     n = len(a) - size + 1
@@ -52,8 +60,8 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the runs that are least in some window of `length` bytes."""
     if len(data) < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = hashing.grams(data, length // 8)
-    window = length - length // 8 + 1
+    h = hashing.grams(data, _run(length))
+    window = length - _run(length) + 1
     least = _sliding(h, window, np.minimum)
     at = np.flatnonzero(_sliding(np.pad(least, window - 1), window, np.maximum) == h)
     return at, h[at]
@@ -79,23 +87,45 @@ def _anchor_rows(length: int):
     return run
 
 
+def _covers(length: int):
+    """For each spot of a text, the hash of the bytes around it: all windows that hold the
+    anchor's run. The hash depends on how the text's ends cut them."""
+    back = length - _run(length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            for tid, text, spots in zip(*(batch.column(i) for i in range(3)), strict=True):
+                data, owner = text.as_buffer().to_pybytes(), tid.as_py()
+                for s in spots.as_py():
+                    pos = s["pos"]
+                    low, high = max(0, length - len(data) + pos), min(back, pos)
+                    row = (s["run"], _digest(data[pos - high : pos - low + length], low), owner, pos, low, high)
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+            types = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["run", "cover", "tid", "pos", "low", "high"])
+
+    return run
+
+
 def _contexts(length: int):
-    """The bytes around each spot of a text: all windows that hold the anchor's run."""
-    back = length - length // 8
+    """The bytes around each spot of a text, and how many of them come before it."""
+    back = length - _run(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 18):
-                out: tuple[list, ...] = ([], [], [], [], [], [])
+                out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
                 for tid, text, spots in zip(*(part.column(i) for i in range(3)), strict=True):
-                    data = text.as_buffer().to_pybytes()
+                    data, owner = text.as_buffer().to_pybytes(), tid.as_py()
                     for s in spots.as_py():
                         a = max(0, s["pos"] - back)
-                        row = (s["run"], s["n"], tid.as_py(), s["pos"], s["pos"] - a, data[a : s["pos"] + length])
+                        row = (s["run"], s["covers"], owner, s["pos"], s["low"], s["high"], s["pos"] - a, data[a : s["pos"] + length])
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
-                types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["run", "n", "tid", "pos", "off", "ctx"])
+                types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], CONTEXT_NAMES)
 
     return run
 
@@ -183,7 +213,7 @@ def _compare(length: int):
 def _cores(length: int):
     """A row per part of the windows around a hot anchor: hashes of the bytes common to all
     windows of the part, and of all bytes they cover in this text."""
-    back = length - length // 8
+    back = length - _run(length)
     step = -(-(back + 1) // PARTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,6 +235,10 @@ def _cores(length: int):
     return run
 
 
+CONTEXT_NAMES = ["run", "covers", "tid", "pos", "low", "high", "off", "ctx"]
+CONTEXT = "run long, covers long, tid binary, pos int, low int, high int, off int, ctx binary"
+
+
 def _digest(data: bytes, salt: int) -> bytes:
     return hashlib.blake2b(data, digest_size=16, salt=salt.to_bytes(4)).digest()
 
@@ -224,23 +258,30 @@ def _window_rows(length: int):
     return run
 
 
-CONTEXT = "run long, n long, tid binary, pos int, off int, ctx binary"
+def _told(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """Rows with the number of rows that have the same cover, and of covers of the same `by`."""
+    rows = landed(rows, name).withColumn("place", F.xxhash64("tid", "pos"))
+    covers = landed(rows.groupBy(by, "cover").agg(F.count("*").alias("alike"), F.min("place").alias("least")), f"{name}_covers")
+    kinds = covers.groupBy(by).agg(F.count("*").alias("covers"), F.max("alike").alias("most")).where("covers > 1 OR most > 1")
+    return landed(rows.join(covers.join(kinds.select(by, "covers"), by), [by, "cover"]), f"{name}_told")
+
+
+def _whole(told: DataFrame, length: int) -> DataFrame:
+    """Spans of surroundings that are found elsewhere as a whole."""
+    return told.where("alike > 1").select(
+        "tid", (F.col("pos") - F.col("high")).cast("long").alias("start"), (F.col("pos") - F.col("low") + length).cast("long").alias("end")
+    )
+
+
+OPEN = "covers > 1 AND (alike = 1 OR place = least)"  # what is compared: the others, and one of each kind
 
 
 def _hot_spans(hot: DataFrame, length: int) -> DataFrame:
     """(tid, start, end) of the repeated windows around hot anchors."""
-    place = F.xxhash64("tid", "pos").alias("place")
-    parts = landed(
-        hot.select("tid", "pos", "off", "ctx").mapInArrow(_cores(length), "core binary, cover binary, tid binary, pos int, low int, high int"), "cores"
-    ).withColumn("place", place)
-    covers = parts.groupBy("core", "cover").agg(F.count("*").alias("alike"), F.min("place").alias("least"))
-    cores = covers.groupBy("core").agg(F.count("*").alias("covers"))
-    told = landed(parts.join(covers, ["core", "cover"]).join(cores, "core"), "told")
-    # Equal surroundings elsewhere: every window of the part is repeated.
-    whole = told.where("alike > 1").select("tid", (F.col("pos") - F.col("high")).cast("long").alias("start"), (F.col("pos") - F.col("low") + length).cast("long").alias("end"))
-    # The others are compared with one of each kind.
-    open_ = told.where("covers > 1 AND (alike = 1 OR place = least)")
     surroundings = hot.select("tid", "pos", "off", "ctx")
+    parts = surroundings.mapInArrow(_cores(length), "core binary, cover binary, tid binary, pos int, low int, high int")
+    told = _told(parts, "core", "cores")
+    open_ = told.where(OPEN)
     few = open_.where(F.col("covers") <= HOT).select(F.xxhash64("core").alias("run"), "tid", "pos", "low", "high").join(surroundings, ["tid", "pos"])
     many = open_.where(F.col("covers") > HOT).select("tid", "pos", "low", "high").join(surroundings, ["tid", "pos"])
     windows = landed(
@@ -249,7 +290,7 @@ def _hot_spans(hot: DataFrame, length: int) -> DataFrame:
     spot = F.xxhash64("tid", "start")
     counts = windows.groupBy("window").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).where("a != b")
     single = windows.join(counts, "window").select("tid", "start", (F.col("start") + length).alias("end"))
-    return whole.unionByName(single).unionByName(_compared(few, length))
+    return _whole(told, length).unionByName(single).unionByName(_compared(few, length))
 
 
 def _compared(rows: DataFrame, length: int) -> DataFrame:
@@ -257,20 +298,29 @@ def _compared(rows: DataFrame, length: int) -> DataFrame:
     return ordered.mapInArrow(_compare(length), "tid binary, start long, end long")
 
 
+def _with_texts(texts: DataFrame, spots: DataFrame) -> DataFrame:
+    """(tid, text, spots) of the texts that have spots. One row stands for equal texts: copies
+    meet before the shuffle already. Texts without spots are ruled out where they are read."""
+    spots = landed(spots, "spots")
+    chosen = texts.join(small(spots.select("tid")), "tid", "left_semi")
+    return chosen.groupBy("tid").agg(F.min("text").alias("text")).join(spots, "tid").select("tid", "text", "spots")
+
+
 def spans(df: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
     """(tid, start, end): byte spans of repeated strings, by the MD5 of the text. Spans of a
     text may overlap; together they cover its repeated bytes, but for those of equal texts."""
-    back = length - length // 8
     texts = df.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("tid"), F.col(text).cast("binary").alias("text")).where("text IS NOT NULL")
     found = landed(texts.mapInArrow(_anchor_rows(length), "run long, tid binary, pos int"), "anchors")
     place = F.xxhash64("tid", "pos")
-    repeated = found.groupBy("run").agg(F.count("*").alias("n"), F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("run", "n")
-    spots = found.join(repeated, "run").groupBy("tid").agg(F.collect_set(F.struct("pos", "run", "n")).alias("spots"))
-    # One row stands for equal texts; copies meet before the shuffle already.
-    one = texts.groupBy("tid").agg(F.min("text").alias("text"))
-    contexts = landed(one.join(spots, "tid").select("tid", "text", "spots").mapInArrow(_contexts(length), CONTEXT), "contexts")
-    bounds = contexts.withColumns({"low": F.lit(0), "high": F.lit(back)})
-    return _compared(bounds.where(F.col("n") <= HOT), length).unionByName(_hot_spans(contexts.where(F.col("n") > HOT), length))
+    repeated = found.groupBy("run").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("run")
+    spots = found.join(repeated, "run", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("pos", "run")).alias("spots"))
+    covered = _with_texts(texts, spots).mapInArrow(_covers(length), "run long, cover binary, tid binary, pos int, low int, high int")
+    told = _told(covered, "run", "runs")
+    spot = F.struct("pos", "run", "low", "high", "covers")
+    open_ = told.where(OPEN).groupBy("tid").agg(F.collect_set(spot).alias("spots"))
+    contexts = landed(_with_texts(texts, open_).mapInArrow(_contexts(length), CONTEXT), "contexts")
+    compared = _compared(contexts.where(F.col("covers") <= HOT), length)
+    return _whole(told, length).unionByName(compared).unionByName(_hot_spans(contexts.where(F.col("covers") > HOT), length))
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
@@ -279,6 +329,8 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text")).withColumn("tid", F.unhex(F.md5("text")))
     found = spans(df, text, length).groupBy("tid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     copies = rows.groupBy("tid").agg(F.count("*").alias("copies")).where("copies > 1")
+    touched = landed(found.join(copies, "tid", "full").select("tid", "spans", F.col("copies").isNotNull().alias("copied")), "touched")
+    tids = small(touched.select("tid"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -302,7 +354,10 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
                     kept.append(b"".join([*left, data[at:]]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(removed, run_type), pa.array(kept, pa.binary())], [key, "n_bytes", "removed", "kept"])
 
-    known = rows.join(found, "tid", "left").join(copies, "tid", "left").select("key", "text", "spans", F.col("copies").isNotNull().alias("copied"))
+    # Texts without repeats are not shuffled.
+    changed = rows.join(tids, "tid", "left_semi").join(touched, "tid").select("key", "text", "spans", "copied")
+    same = rows.join(tids, "tid", "left_anti").select("key", "text", F.lit(None).cast(touched.schema["spans"].dataType).alias("spans"), F.lit(False).alias("copied"))
+    known = changed.unionByName(same)
     return known.mapInArrow(run, f"{key} {key_type}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
 
 

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -27,3 +28,12 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+SMALL_ROWS = 1_000_000  # rows of a few bytes that may be broadcast
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it has few of them; a larger one is
+    shuffled like any other. The count is read from the files' footers."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
