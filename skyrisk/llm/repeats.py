@@ -38,7 +38,7 @@ from skyrisk.llm.shared import landed, small
 from skyrisk.llm.sorting import common, sort_groups
 from skyrisk.llm.texts import slices
 
-HOT = 256  # kinds of surroundings of one run, or of one core, that one task compares
+HOT = 1024  # kinds of surroundings of one run, or of one core, that one task compares
 PARTS = 16  # parts that the windows around a hot anchor are taken apart into
 
 
@@ -262,8 +262,13 @@ def _told(rows: DataFrame, by: str, name: str) -> DataFrame:
     """Rows with the number of rows that have the same cover, and of covers of the same `by`."""
     rows = landed(rows, name).withColumn("place", F.xxhash64("tid", "pos"))
     covers = landed(rows.groupBy(by, "cover").agg(F.count("*").alias("alike"), F.min("place").alias("least")), f"{name}_covers")
-    kinds = covers.groupBy(by).agg(F.count("*").alias("covers"), F.max("alike").alias("most")).where("covers > 1 OR most > 1")
-    return landed(rows.join(covers.join(kinds.select(by, "covers"), by), [by, "cover"]), f"{name}_told")
+    # Tables of their own, so that a hot key's part of a join can be split.
+    kinds = landed(
+        covers.groupBy(by).agg(F.count("*").alias("covers"), F.max("alike").alias("most")).where("covers > 1 OR most > 1").select(by, "covers"),
+        f"{name}_kinds",
+    )
+    known = landed(covers.join(kinds, by), f"{name}_known")
+    return landed(rows.join(known, [by, "cover"]), f"{name}_told")
 
 
 def _whole(told: DataFrame, length: int) -> DataFrame:
@@ -312,7 +317,7 @@ def spans(df: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
     texts = df.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("tid"), F.col(text).cast("binary").alias("text")).where("text IS NOT NULL")
     found = landed(texts.mapInArrow(_anchor_rows(length), "run long, tid binary, pos int"), "anchors")
     place = F.xxhash64("tid", "pos")
-    repeated = found.groupBy("run").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("run")
+    repeated = landed(found.groupBy("run").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("run"), "repeated")
     spots = found.join(repeated, "run", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("pos", "run")).alias("spots"))
     covered = _with_texts(texts, spots).mapInArrow(_covers(length), "run long, cover binary, tid binary, pos int, low int, high int")
     told = _told(covered, "run", "runs")
