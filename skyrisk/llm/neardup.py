@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from skyrisk.llm import hashing
 from skyrisk.llm.components import components
-from skyrisk.llm.shared import landed
+from skyrisk.llm.shared import landed, small
 from skyrisk.llm.texts import slices
 
 TREES, ROOT, DEPTH = 24, 4, 8
@@ -132,7 +132,8 @@ def _candidates(least: float):
             steps = [(np.arange(m - s), np.arange(s, m)) for s in range(1, min(AHEAD, m - 1) + 1)]
             steps.append((np.arange(m), np.full(m, _central(path))))
             i, j = (np.concatenate(x) for x in zip(*steps, strict=True))
-        ok = (_similar(sketch[i], sketch[j]) >= least) & (ids[i] != ids[j])
+        parts = range(0, len(i), 1 << 14)
+        ok = np.concatenate([_similar(sketch[i[p : p + (1 << 14)]], sketch[j[p : p + (1 << 14)]]) >= least for p in parts]) & (ids[i] != ids[j])
         i, j = ids[i[ok]], ids[j[ok]]
         return np.minimum(i, j), np.maximum(i, j)
 
@@ -258,10 +259,9 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5
         .select("digest", F.col("least.key").alias("id"), "least.signature"), "classes",
     )
     pairs = landed(candidates(sets, percent), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = landed(
-        df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL").join(ends, "id"), "texts"
-    )
+    ends = landed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+    known = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    texts = landed(known.join(small(ends), "id"), "texts")
     best = (
         pairs.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("o")), F.struct(F.col("b").alias("v"), F.col("a").alias("o")))).alias("x"), "votes")
         .groupBy("x.v").agg(F.max(F.struct("votes", -F.col("x.o"))).alias("m"))

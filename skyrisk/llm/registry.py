@@ -41,8 +41,10 @@ def _shipped(application: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the code to the executors; Spark does so once per file name."""
+    """Send the code to the executors; Spark does so once per file name. Smaller batches keep
+    the Python workers small, of which an executor holds more than it has cores."""
     pin_settings(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.sparkContext.addPyFile(_shipped(spark.sparkContext.applicationId))
 
 
