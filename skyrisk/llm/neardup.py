@@ -3,14 +3,17 @@
 Every distinct shingle set has one signature and, in each tree of the forest, a path: its
 minimum hashes from another position on. The paths of a tree are sorted; sets that share the
 first `ROOT` hashes form a region, and the longer a path two sets share, the nearer they stand.
-Candidates depend on how dense a region is: all of a small region are compared by sketches of
-their signatures, in a large one each set meets its next neighbours in the order and the set at
-the end of the most trodden path (the original of a group of near copies). The range partitions
-split regions of any size; pieces of a region are tied together by their first, last and
-central sets. Candidates are verified on full shingle sets of the texts.
-
-Verification goes in two rounds: first each set's best candidate, then every candidate whose
-ends are not connected yet. So a group of thousands costs a few comparisons per member.
+All of a small region are compared by sketches of their signatures. In a large one each set
+first meets its next neighbours in the order and the set at the end of the most trodden path;
+the range partitions split regions of any size, and pieces of a region are first tied together
+by their first, last and central sets. Candidates are verified on full shingle sets of the
+texts: first each set's best candidate, then every candidate whose ends are not connected yet.
+
+What is then still apart in a large or split region is compared whole (`_settled`): first, in
+rounds, with the members nearest to a sample of those apart, wherever in the region they stand
+and whatever their ids (the original of a group of near copies); then, when that links little
+more, block by block, each set with all members of other components. So a group of thousands
+costs a few comparisons per member, and only sets that link with nothing meet the whole region.
 
 Links have an exact similarity of at least `percent` hundredths. Cases: null and empty texts
 have no shingles, link with nothing and stay; copies with equal sets form one class from the
@@ -26,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyrisk.llm import hashing
@@ -36,7 +39,9 @@ from skyrisk.llm.texts import slices
 
 TREES, ROOT, DEPTH = 24, 4, 8
 HASHES = TREES * ROOT
-SMALL, AHEAD = 12, 6  # size of a region compared throughout; neighbours met in larger ones
+SMALL, AHEAD = 12, 6  # size of a region compared at once; neighbours met first in larger ones
+BLOCK = 512  # members of a region that a task compares with as many others
+NEAREST, SAMPLE = 8, 32  # members that all of a region meet in a round; those that choose them
 # Sketches hold four bits of each hash. A pair at the least similarity falls below the bound
 # by five standard deviations or not at all.
 SKETCH_DEVIATIONS = 5.0
@@ -122,7 +127,8 @@ def _similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _candidates(least: float):
     """Candidate pairs of sorted rows. Kind 0 is a pair; kind 1 hands the first, the last and
-    the central row of a partition's piece of a region on, for `_seams`."""
+    the central row of a partition's piece of a region on, for `_seams`; kind 2 is a region, or
+    a piece of one, that was not compared whole, with its size in `a`."""
 
     def pairs_of(path: np.ndarray, ids: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         m = len(ids)
@@ -145,6 +151,14 @@ def _candidates(least: float):
                 a, b = pairs_of(path, ids, sketch)
                 if len(a):
                     yield _pairs(a, b)
+            if first or last or len(ids) > SMALL:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([2], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([1], pa.int64()), pa.array(tree[:1]),
+                        _fixed(np.ascontiguousarray(path[:1].astype(">u4")).view(np.uint8).reshape(1, -1)), pa.nulls(1, pa.binary()),
+                    ],
+                    ["kind", "a", "b", "tree", "path", "sketch"],
+                )
             if first or last:
                 ends = [0, _central(path), len(ids) - 1]
                 yield pa.RecordBatch.from_arrays(
@@ -213,18 +227,84 @@ def _seams(least: float):
 PAIR = "kind int, a long, b long, tree int, path binary, sketch binary"
 
 
-def candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, votes): pairs of ids of `sets` (id, signature), and the trees that met them."""
+def _least(percent: int) -> float:
+    """Estimates of pairs that may link are at least this."""
     p = percent / 100
     agree = 1 / 16 + p * 15 / 16
-    least = p - SKETCH_DEVIATIONS * float(np.sqrt(agree * (1 - agree) / HASHES)) * 16 / 15
-    forest = sets.select("id", "signature").mapInArrow(_paths, "tree int, path binary, id long, sketch binary")
-    ordered = forest.repartitionByRange("tree", "path", "id").sortWithinPartitions("tree", "path", "id")
+    return p - SKETCH_DEVIATIONS * float(np.sqrt(agree * (1 - agree) / HASHES)) * 16 / 15
+
+
+def _forest(sets: DataFrame) -> DataFrame:
+    return sets.select("id", "signature").mapInArrow(_paths, "tree int, path binary, id long, sketch binary")
+
+
+def _region() -> Column:
+    return F.xxhash64("tree", F.substring("path", 1, 4 * ROOT)).alias("region")
+
+
+def candidates(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, votes): pairs of ids of `sets` (id, signature), and the trees that met them; and
+    the regions of which not all pairs were looked at."""
+    least = _least(percent)
+    ordered = _forest(sets).repartitionByRange("tree", "path", "id").sortWithinPartitions("tree", "path", "id")
     found = landed(ordered.mapInArrow(_candidates(least), PAIR), "candidates")
     # A few rows per partition of the forest, whatever the number of documents.
     ends = found.where("kind = 1").select("tree", "path", "a", "sketch").coalesce(1).sortWithinPartitions("tree", "path", "a")
     seams = ends.mapInArrow(_seams(least), PAIR)
-    return found.where("kind = 0").select("a", "b").unionByName(seams.select("a", "b")).groupBy("a", "b").agg(F.count("*").alias("votes"))
+    pairs = found.where("kind = 0").select("a", "b").unionByName(seams.select("a", "b")).groupBy("a", "b").agg(F.count("*").alias("votes"))
+    pieces = found.where("kind = 2").groupBy(_region()).agg(F.sum("a").alias("n"), F.sum("b").alias("pieces"))
+    return pairs, pieces.where((F.col("n") > SMALL) | ((F.col("pieces") > 1) & (F.col("n") > 1))).select("region")
+
+
+def _members(column: pa.Array, i: int) -> tuple[np.ndarray, ...]:
+    """Ids, components, set sizes and signatures of the members in one row."""
+    ids, component, n, signature = column[i].values.flatten()
+    s = np.frombuffer(b"".join(signature.to_pylist()), np.uint32).reshape(-1, HASHES)
+    return ids.to_numpy(), component.to_numpy(), n.to_numpy(), s
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of each block that agree most with the sample of their region."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids, component, n, s = _members(batch.column("m"), i)
+            sample = _members(batch.column("sample"), i)[3]
+            agree = sum((s == x).sum(1) for x in sample)
+            best = np.lexsort((ids, -agree))[:NEAREST]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(best), batch.column("region")[i].as_py())), pa.array(agree[best].astype(np.int64)), pa.array(ids[best]),
+                    pa.array(component[best]), pa.array(n[best]), _fixed(np.ascontiguousarray(s[best]).view(np.uint8)),
+                ],
+                ["region", "agree", "id", "component", "n", "signature"],
+            )
+
+
+def _between(least: float, percent: int, once: bool):
+    """Pairs between the members `m` and `other` of a row that may link and are in different
+    components, with the hashes they share. With `once`, only in the first tree where they meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                tree = batch.column("tree")[row].as_py()
+                ids, component, n, s = _members(batch.column("m"), row)
+                ids_2, component_2, n_2, s_2 = _members(batch.column("other"), row)
+                found = []
+                for i in range(len(ids)):
+                    at = np.flatnonzero((component_2 != component[i]) & (100 * np.minimum(n_2, n[i]) >= percent * np.maximum(n_2, n[i])))
+                    same = s_2[at] == s[i]
+                    votes = same.sum(1)
+                    ok = votes >= least * HASHES
+                    if once and ok.any():
+                        ok[ok] = same[ok].reshape(-1, TREES, ROOT).all(2).argmax(1) == tree
+                    at, votes = at[ok], votes[ok]
+                    found.append((np.minimum(ids_2[at], ids[i]), np.maximum(ids_2[at], ids[i]), votes))
+                a, b, votes = (np.concatenate(x) for x in zip(*found, strict=True))
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(votes.astype(np.int64))], ["a", "b", "votes"])
+
+    return run
 
 
 @lru_cache(maxsize=64)
@@ -250,17 +330,10 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """key, n_shingles, component_id (smallest key reachable by links), kept (is it that one?)."""
-    rows = landed(described(df, key, text, size), "sets")
-    whole = rows.where("key IS NOT NULL AND digest IS NOT NULL")
-    sets = landed(
-        whole.groupBy("digest").agg(F.min(F.struct("key", "signature")).alias("least"))
-        .select("digest", F.col("least.key").alias("id"), "least.signature"), "classes",
-    )
-    pairs = landed(candidates(sets, percent), "pairs")
+def _linked(pairs: DataFrame, links: DataFrame | None, known: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The links with those among the pairs (a, b, votes), and the components of all of them.
+    Pairs whose ends are connected by then are not looked at."""
     ends = landed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
-    known = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
     texts = landed(known.join(small(ends), "id"), "texts")
     best = (
         pairs.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("o")), F.struct(F.col("b").alias("v"), F.col("a").alias("o")))).alias("x"), "votes")
@@ -268,7 +341,8 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5
         .select(F.least("v", -F.col("m.col2")).alias("a"), F.greatest("v", -F.col("m.col2")).alias("b")).distinct()
     )
     first = landed(verified(best, texts, size, percent), "first_links")
-    joined = components(first)
+    links = first if links is None else links.unionByName(first)
+    joined = components(links)
     label = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
     apart = (
         pairs.join(label("a"), "a", "left").join(label("b"), "b", "left")
@@ -276,9 +350,78 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5
     )
     second = landed(verified(apart, texts, size, percent), "second_links")
     if second.isEmpty():
-        final = joined
-    else:
-        final = components(first.unionByName(second))
+        return links, joined
+    links = links.unionByName(second)
+    return links, components(links)
+
+
+def _blocks(members: DataFrame, joined: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
+    """The regions that hold several components, as rows of at most about `BLOCK` members:
+    those of the region's largest component, and those apart from it; and how many are apart."""
+    named = landed(
+        members.join(joined.withColumnRenamed("node", "id"), "id", "left").select("region", "tree", "id", F.coalesce("component", "id").alias("component")),
+        "named",
+    )
+    sizes = named.groupBy("region", "component").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("region").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("size")).where("size > most.n")
+    most = landed(most.select("region", F.col("most.component").alias("largest"), F.col("most.n").alias("inside"), (F.col("size") - F.col("most.n")).alias("outside")), "contested")
+    apart = F.col("component") != F.col("largest")
+    n_blocks = F.ceil(F.when(apart, F.col("outside")).otherwise(F.col("inside")) / BLOCK)
+    rows = named.join(small(most), "region").select("region", "tree", apart.alias("apart"), F.pmod(F.xxhash64("id"), n_blocks).alias("block"), "id", "component")
+    blocks = rows.join(sets.select("id", "n", "signature"), "id").groupBy("region", "tree", "apart", "block").agg(
+        F.collect_list(F.struct("id", "component", "n", "signature")).alias("m")
+    )
+    return landed(blocks, "blocks"), most.agg(F.sum("outside")).first()[0] or 0
+
+
+def _settled(links: DataFrame, joined: DataFrame, regions: DataFrame, sets: DataFrame, known: DataFrame, size: int, percent: int) -> DataFrame:
+    """The components once all pairs of the regions are linked, unlike or connected."""
+    least = _least(percent)
+    roots = _forest(sets).select(_region(), "tree", "id")
+    members = landed(roots.join(small(landed(regions, "regions")), "region"), "members")
+    before = None
+    while True:
+        blocks, apart = _blocks(members, joined, sets)
+        if not apart:
+            return joined
+        if before is not None and 10 * apart > 9 * before:
+            break
+        before = apart
+        # Blocks are dealt by a hash of the id, so one of them is a sample.
+        sample = blocks.where("apart AND block = 0").select("region", F.slice("m", 1, SAMPLE).alias("sample"))
+        near = blocks.join(sample, "region").select("region", "m", "sample").mapInArrow(
+            _nearest, "region long, agree long, id long, component long, n long, signature binary"
+        )
+        rank = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("agree"), "id"))
+        nearest = near.withColumn("rank", rank).where(F.col("rank") <= NEAREST).groupBy("region").agg(
+            F.collect_list(F.struct("id", "component", "n", "signature")).alias("other")
+        )
+        met = blocks.where("apart").join(landed(nearest, "nearest"), "region").select("tree", "m", "other")
+        pairs = met.mapInArrow(_between(least, percent, False), "a long, b long, votes long").groupBy("a", "b").agg(F.max("votes").alias("votes"))
+        links, joined = _linked(landed(pairs, "pairs"), links, known, size, percent)
+    # Each block of those apart with every other block; a pair of blocks is a task's row.
+    names = blocks.select("region", "apart", "block")
+    one, two = names.where("apart").select("region", "block"), names.select("region", F.col("apart").alias("apart_2"), F.col("block").alias("block_2"))
+    both = landed(one.join(two, "region").where("NOT apart_2 OR block_2 >= block"), "block_pairs")
+    left = blocks.where("apart").select("region", "tree", "block", "m")
+    right = blocks.select("region", F.col("apart").alias("apart_2"), F.col("block").alias("block_2"), F.col("m").alias("other"))
+    met = both.join(left, ["region", "block"]).join(right, ["region", "apart_2", "block_2"]).select("tree", "m", "other")
+    pairs = met.mapInArrow(_between(least, percent, True), "a long, b long, votes long").distinct()
+    return _linked(landed(pairs, "pairs"), links, known, size, percent)[1]
+
+
+def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """key, n_shingles, component_id (smallest key reachable by links), kept (is it that one?)."""
+    rows = landed(described(df, key, text, size), "sets")
+    whole = rows.where("key IS NOT NULL AND digest IS NOT NULL")
+    sets = landed(
+        whole.groupBy("digest").agg(F.min(F.struct("key", "signature", "n")).alias("least"))
+        .select("digest", F.col("least.key").alias("id"), "least.signature", "least.n"), "classes",
+    )
+    pairs, regions = candidates(sets, percent)
+    known = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    links, joined = _linked(landed(pairs, "pairs"), None, known, size, percent)
+    final = _settled(links, joined, regions, sets, known, size, percent)
     named = rows.join(sets.select("digest", "id"), "digest", "left").join(
         final.select(F.col("node").alias("id"), "component"), "id", "left"
     )

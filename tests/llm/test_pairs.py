@@ -67,6 +67,28 @@ def test_large_regions_are_tied_together(documents, prose, monkeypatch):
     assert got == {i: c for i, (_, c) in brute_groups(rows, 2, 80).items()}
 
 
+def test_copies_meet_through_an_original_of_any_id(documents, prose):
+    hub = prose(1200, 78)
+    rows = [(c, changed(hub, 0.047, c)) for c in range(150)] + [(10**6, hub)]
+    want = brute_groups(rows, 2, 80)
+    sets = [shingle_set(t, 2) for _, t in rows[:-1]]
+    linked = sum(100 * len(x & y) >= 80 * len(x | y) for x in sets for y in sets if x is not y)
+    assert linked < len(sets) / 4 and Counter(c for _, c in want.values()).most_common(1)[0][1] > 100
+    got = {r["doc_id"]: r["component_id"] for r in neardup.groups(documents(rows), size=2).collect()}
+    assert got == {i: c for i, (_, c) in want.items()}
+
+
+def test_what_no_representative_links_is_compared_whole(documents, prose, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 20)
+    base = prose(400, 79)
+    # Variants that are nearly alike, and a twin of some of them far off in the order of ids.
+    rows = [(c, changed(base, 0.07, c)) for c in range(60)]
+    rows += [(10**6 - c, changed(rows[c][1], 0.04, 99 + c)) for c in range(0, 60, 3)]
+    want = brute_groups(rows, 2, 80)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.groups(documents(rows), size=2).collect()}
+    assert got == {i: c for i, (_, c) in want.items()} and len(set(got.values())) > 20
+
+
 def test_one_of_each_keeps_columns(documents, prose):
     t = prose(60, 1)
     df = documents([(3, t), (1, t), (1, t), (2, prose(60, 2)), (9, None), (None, t)])
