@@ -137,6 +137,11 @@ def test_each_token_is_scored_once_from_its_window():
         assert total == pytest.approx(want, rel=1e-4)
 
 
+def test_scored_tokens_see_half_a_window():
+    _, begin, scored = attention.windows(np.array([5, 32, 33, 500]))
+    assert (scored - begin)[begin > 0].min() >= attention.WINDOW // 2 and attention.CLASSES >= 32
+
+
 def test_shares_sum_to_one_in_each_class():
     vocabulary = attention.Vocabulary(np.random.default_rng(0).integers(0, 9, 3000).astype(float))
     assert np.bincount(vocabulary.of, 10**vocabulary.log_share, attention.CLASSES) == pytest.approx(np.ones(attention.CLASSES))
