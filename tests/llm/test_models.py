@@ -137,6 +137,18 @@ def test_each_token_is_scored_once_from_its_window():
         assert total == pytest.approx(want, rel=1e-4)
 
 
+def test_every_token_of_every_training_text_teaches(spark):
+    lengths = np.array([1, 31, 32, 33, 20_000])
+    flat = np.random.default_rng(1).integers(0, 3000, lengths.sum()).astype(np.uint32)
+    vocabulary = attention.Vocabulary(np.bincount(flat, minlength=3000).astype(float))
+    rows, goal, known = attention.examples(vocabulary, flat, lengths, start=7)
+    assert (goal[known] == vocabulary.of[flat]).all() and (rows[[0, 1, 2], 0] == vocabulary.place[7]).all()
+    texts = [(flat[i : i + 3].astype("<u4").tobytes(),) for i in range(4000)]
+    df = spark.createDataFrame(texts, "ids binary").repartition(3)
+    seen = df.mapInArrow(lm._round(vocabulary, attention.initial(), 4e-3, 7), "weights binary, tokens long")
+    assert sum(r["tokens"] for r in seen.collect()) == 12_000
+
+
 def test_scored_tokens_see_half_a_window():
     _, begin, scored = attention.windows(np.array([5, 32, 33, 500]))
     assert (scored - begin)[begin > 0].min() >= attention.WINDOW // 2 and attention.CLASSES >= 32
