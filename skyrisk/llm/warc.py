@@ -32,11 +32,17 @@ from skyrisk.llm.texts import slices
 NO_DATE = "1970-01-01T00:00:00Z"  # date of responses whose source has none
 NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:derived-warc-records")
 
-_HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|template|noscript|head)\b.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|\]\]>")
-_BLOCK = re.compile(
-    r"(?is)<\s*/?\s*(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|nav"
+_BLOCKS = (
+    r"<\s*/?\s*(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|nav"
     r"|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>"
 )
+_BLOCK = re.compile(f"(?is){_BLOCKS}")
+_UNSEEN = r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|\]\]>"
+# A head ends at its end tag, at the body or at the first block tag outside its own elements.
+_HIDDEN = re.compile(
+    rf"(?is){_UNSEEN}|<head\b[^>]*>(?:<!--.*?-->|<(script|style|template|noscript|title)\b.*?</\2\s*>|(?!</head\b|<body\b|{_BLOCKS}).)*+(?P<end></head\s*>|\Z)?"
+)
+_OF_HEAD = re.compile(rf"(?is){_UNSEEN}|<title\b.*?</title\s*>")
 _TAG = re.compile(r"(?s)<[/!?a-zA-Z][^>]*>?")
 _TITLE = re.compile(r"(?is)<title[^>]*>(.*?)</title")
 _LANG = re.compile(r"""(?is)<html[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""")
@@ -67,10 +73,15 @@ def split_http(message: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, [(name.strip(), value.strip()) for name, _, value in pairs], body
 
 
+def _shown(hidden: re.Match) -> str:
+    """A head without an end loses its own elements only; other hidden parts go."""
+    return _OF_HEAD.sub(" ", hidden[0]) if hidden["end"] == "" else " "
+
+
 def plain_text(page: str) -> str:
     """Visible text: hidden parts go, block tags end lines, entities are read, white space
     is joined, empty lines go."""
-    text = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub(" ", page)))
+    text = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub(_shown, page)))
     lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 

@@ -123,3 +123,14 @@ def test_pipeline_stages_take_effect(spark):
 def test_every_operator_is_registered_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
     assert numbers == list(range(1, 11))
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body>seen <b>here</b></body>", "seen here"),
+    ("<head><title>T</title><script>'<p>no'</script><p>seen</p>", "seen"),
+    ("<head><meta charset=x><title>T</title>only text", "only text"),
+    ("<head><title>T</title>in head</head><div>seen</div>", "seen"),
+    ("<header>seen</header><!-- <head> --> too", "seen\ntoo"),
+])
+def test_head_without_end_tag_hides_no_text(page, text):
+    assert warc.plain_text(page) == text
