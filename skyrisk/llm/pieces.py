@@ -4,7 +4,8 @@ Encoding. The normalised text is cut where no vocabulary piece can reach across,
 part is merged by an agenda of adjacent symbol pairs ordered by (score, position), and
 characters without a piece become byte pieces. Parts that a task meets for the first time
 are encoded by the sentencepiece library as well, batch by batch; a difference stops the
-job. Decoding joins pieces and bytes again and is checked likewise.
+job. The cuts themselves are not checked: no whole text is encoded by the library. Decoding
+joins pieces and bytes again; where that does not give the text back, the library decodes too.
 
 Cases: null and empty texts give the begin and end ids only; texts of any length are
 encoded whole (memory follows the longest text of a batch); repeated rows give repeated
