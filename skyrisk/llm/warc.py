@@ -40,7 +40,7 @@ _BLOCK = re.compile(f"(?is){_BLOCKS}")
 _UNSEEN = r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|\]\]>"
 # A head ends at its end tag, at the body or at the first block tag outside its own elements.
 _HIDDEN = re.compile(
-    rf"(?is){_UNSEEN}|<head\b[^>]*>(?:<!--.*?-->|<(script|style|template|noscript|title)\b.*?</\2\s*>|(?!</head\b|<body\b|{_BLOCKS}).)*+(?P<end></head\s*>|\Z)?"
+    rf"(?is){_UNSEEN}|<head\b[^>]*>(?:<!--.*?-->|<(script|style|template|noscript|title)\b.*?</\2\s*>|[^<]++|(?!</head\b|<body\b|{_BLOCKS})<)*+(?P<end></head\s*>|\Z)?"
 )
 _OF_HEAD = re.compile(rf"(?is){_UNSEEN}|<title\b.*?</title\s*>")
 _TAG = re.compile(r"(?s)<[/!?a-zA-Z][^>]*>?")
