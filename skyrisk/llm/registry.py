@@ -10,13 +10,14 @@ from functools import lru_cache, wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyrisk.llm import decontaminate, lm, neardup, neighbours, pieces, quality, repeats, secrets, toxicity, warc
+from skyrisk.llm import conversations, decontaminate, lexical, lm, neardup, neighbours, oracle, pieces, quality, repeats, secrets, toxicity, urlfilter, warc
 from skyrisk.session import pin_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracle.SQL)
 
 
 def query(f: Query) -> Query:
@@ -113,3 +114,25 @@ def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digests(table(spark, folder, "documents"))
+
+
+# The rules of the query, and words of site names whose pages it lists.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+LISTED_SITES = "pills|spam|adult|bets"
+
+
+@query
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    listed = urlfilter.canonical_urls(pages).where(F.col("host").rlike(LISTED_SITES))
+    return urlfilter.judge(pages, spark.createDataFrame(URL_RULES, "host string, path string, verdict string"), listed)
+
+
+@query
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(table(spark, folder, "conversations"))
