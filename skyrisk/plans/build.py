@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +43,14 @@ def build(
     publish("dim_commune", marts.dim_point(points))
     areas = publish("dim_departement", marts.dim_area(points))
     names = marts.area_names(points)
+    # The raw weather is read for the fact alone: when that is written, area-days and the
+    # calendar come from it.
+    fact = publish("fact_meteo", marts.fact_weather(observations))
     # Read by the danger table and by the model features: computed once when written.
-    area_day = publish("int_meteo_departement_jour", marts.weather_by_area_day(observations, names))
+    area_day = publish("int_meteo_departement_jour", marts.weather_by_area_day(fact, names))
     # Publication days need neither deduplication nor horizons.
     published = staging.name_bulletins(raw_bulletins)
-    publish("dim_date", marts.dim_date(marts.date_bounds(observations, published)))
-    publish("fact_meteo", marts.fact_weather(observations))
+    publish("dim_date", marts.dim_date(marts.date_bounds(fact, published)))
     danger = publish("fact_danger_incendie", marts.fact_danger(bulletins))
     publish("pbi_risque_incendie", marts.danger_with_weather(danger, areas, area_day))
     feature_rows = publish("ml_features_incendie", marts.features(area_day, published))
@@ -68,11 +70,11 @@ def write_fact_weather(fact: DataFrame, path: str) -> None:
     )
 
 
-def to_warehouse(root: str) -> Callable[[str, DataFrame], DataFrame]:
+def to_warehouse(root: str, written: Collection[str] = tuple(WRITTEN)) -> Callable[[str, DataFrame], DataFrame]:
     """A ``materialise`` function that writes each table once under a shared folder."""
 
     def materialise(name: str, df: DataFrame) -> DataFrame:
-        if name not in WRITTEN:
+        if name not in written:
             return df
         path = f"{root}/{name}"
         if name == "fact_meteo":

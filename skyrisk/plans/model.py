@@ -245,18 +245,37 @@ def _assembler(output: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(FEATURES), outputCol=output)
 
 
-def forest(trees: int = 200, max_depth: int = 30, seed: int = SEED) -> RandomForestClassifier:
-    """Balanced random forest. 30 is the deepest tree Spark grows."""
+# Of an executor's heap, what the histograms of all its running tasks may take.
+HISTOGRAM_SHARE = 0.2
+
+
+def histogram_memory(spark: SparkSession) -> int:
+    """MB of histograms for a group of nodes: every running task holds one such group, so the
+    share of the heap is divided by the tasks that run in it at once."""
+    conf, sc = spark.sparkContext.getConf(), spark.sparkContext
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        heap, tasks = sc._jvm.Runtime.getRuntime().maxMemory() >> 20, sc.defaultParallelism
+    else:
+        size = sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb(conf.get("spark.executor.memory", "1g"))
+        heap, tasks = size, int(conf.get("spark.executor.cores", "4")) // int(conf.get("spark.task.cpus", "1"))
+    return max(16, min(256, int(heap * HISTOGRAM_SHARE) // max(tasks, 1)))
+
+
+def forest(trees: int = 200, max_depth: int = 30, seed: int = SEED, least_leaf: int = 1, memory: int = 256) -> RandomForestClassifier:
+    """Balanced random forest. 30 is the deepest tree Spark grows; `least_leaf` rows end a branch."""
     return RandomForestClassifier(
         numTrees=trees,
         maxDepth=max_depth,
+        minInstancesPerNode=least_leaf,
         featureSubsetStrategy="sqrt",
         weightCol="poids",
         labelCol="label",
         seed=seed,
-        maxMemoryInMB=1024,
-        # Rows remember their node instead of walking every tree again at each level.
+        maxMemoryInMB=memory,
+        # Rows remember their node instead of walking every tree again at each level; where the
+        # session has a checkpoint folder, what they remember is cut from its lineage there.
         cacheNodeIds=True,
+        checkpointInterval=10,
     )
 
 
@@ -315,6 +334,7 @@ class DangerModel:
 
 def train_forest(train: DataFrame, imputer: Imputer | None = None, **options) -> DangerModel:
     """A forest; an imputer fitted on the same rows may be shared between models."""
+    options = {"memory": histogram_memory(train.sparkSession)} | options
     return DangerModel(_fit([_assembler(), forest(**options)], train), imputer or Imputer.fit(train))
 
 

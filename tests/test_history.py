@@ -1,6 +1,7 @@
 """Keyed upsert and the versioned history."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -15,6 +16,7 @@ from skyrisk.operators.upsert import assert_batch_keys, assert_no_dup, merge_ups
 from skyrisk.plans.ingest import prepare_bulletins
 from skyrisk.sources import history
 from skyrisk.sources.history import ConcurrentLoadError, live_days, read_history, upsert_history
+from skyrisk.sources.shared import create_if_absent, read_text
 from skyrisk.streaming.refresh import refresh_bulletins
 
 D1, D2, D3 = date(2026, 8, 1), date(2026, 8, 2), date(2026, 8, 3)
@@ -152,3 +154,90 @@ def test_a_refused_load_leaves_what_is_published(spark, tmp_path, monkeypatch):
     assert get(spark, root) == published and live_days(spark, root)[0] == 2
     assert put(raw_weather(spark, [(D2, "b", {})]), root) == 3
     assert len(get(spark, root)) == 2
+
+
+def test_of_many_that_create_a_file_one_succeeds(spark, tmp_path):
+    with ThreadPoolExecutor(16) as pool:
+        won = list(pool.map(lambda i: create_if_absent(spark, f"{tmp_path}/log/1.json", str(i)), range(48)))
+    assert won.count(True) == 1
+    assert read_text(spark, f"{tmp_path}/log/1.json") == str(won.index(True))
+    assert [p.name for p in (tmp_path / "log").iterdir()] == ["1.json"]
+
+
+def between_write_and_commit(monkeypatch, other):
+    """Run another load when the next one has written its rows but not published them."""
+    waiting, write = [other], history.write_load
+
+    def write_then(*args):
+        out = write(*args)
+        if waiting:
+            waiting.pop()()
+        return out
+
+    monkeypatch.setattr(history, "write_load", write_then)
+
+
+def test_interleaved_loads_of_other_days_both_land(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "h")
+    put(raw_weather(spark, [(D1, "a", {}), (D2, "a", {})]), root)
+    between_write_and_commit(monkeypatch, lambda: put(raw_weather(spark, [(D2, "b", {}), (D3, "b", {})]), root))
+    assert put(raw_weather(spark, [(D1, "c", {})]), root) == 3
+    codes = [(d.day, c) for d, c in rows(read_history(spark, root, schemas.RAW_WEATHER), "time", "code_insee")]
+    assert codes == [(1, "a"), (1, "c"), (2, "a"), (2, "b"), (3, "b")]
+
+
+def test_interleaved_loads_of_a_day_refuse_the_later(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "h")
+    put(raw_weather(spark, [(D1, "a", {})]), root)
+    other = lambda: put(raw_weather(spark, [(D2, "b", {}), (D1, "a", {"rain_sum": 7.0})]), root)
+    between_write_and_commit(monkeypatch, other)
+    with pytest.raises(ConcurrentLoadError):
+        put(raw_weather(spark, [(D1, "c", {})]), root)
+    first = [(datetime(2026, 8, 1), "a", 7.0), (datetime(2026, 8, 2), "b", 1.0)]
+    assert get(spark, root) == first and live_days(spark, root)[0] == 2
+    # The same, with leave to merge again.
+    between_write_and_commit(monkeypatch, lambda: put(raw_weather(spark, [(D1, "d", {})]), root))
+    assert put(raw_weather(spark, [(D1, "c", {})]), root, retries=1) == 4
+    assert get(spark, root) == sorted([*first, (datetime(2026, 8, 1), "c", 1.0), (datetime(2026, 8, 1), "d", 1.0)], key=repr)
+
+
+def test_a_search_of_the_whole_history_excludes_any_other_load(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "h")
+    put(raw_weather(spark, [(D1, "a", {})]), root)
+    between_write_and_commit(monkeypatch, lambda: put(raw_weather(spark, [(D3, "z", {})]), root))
+    with pytest.raises(ConcurrentLoadError):
+        put(raw_weather(spark, [(D2, "b", {})]), root, key_fixes_day=False)
+
+
+def test_loads_at_the_same_time_lose_nothing(spark, tmp_path):
+    root = str(tmp_path / "h")
+    days = [D1 + timedelta(i) for i in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        versions = list(pool.map(lambda d: put(raw_weather(spark, [(d, "a", {}), (d, "b", {})]), root), days))
+    assert sorted(versions) == list(range(1, 7))
+    assert len(get(spark, root)) == 12
+
+
+def test_snapshots_shorten_the_log(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "SNAPSHOT_EVERY", 2)
+    root = str(tmp_path / "h")
+    for i in range(5):
+        put(raw_weather(spark, [(D1 + timedelta(i % 3), "a", {"rain_sum": float(i)})]), root)
+    assert sorted(p.name for p in (tmp_path / "h" / "snapshot").iterdir()) == ["version=2", "version=4"]
+    version, days = live_days(spark, root)
+    assert version == 5 and len(days) == 3
+    for p in (tmp_path / "h" / "log").glob("*1.json"):  # no longer followed
+        p.unlink()
+    assert live_days(spark, root) == (version, days)
+    (tmp_path / "h" / "snapshot" / "version=4" / "_SUCCESS").unlink()  # one that was never finished
+    assert live_days(spark, root) == (version, days)
+    assert [r[2] for r in get(spark, root)] == [3.0, 4.0, 2.0]
+
+
+def test_days_are_replaced_whole(spark, tmp_path):
+    root = str(tmp_path / "h")
+    put(raw_weather(spark, [(D1, "a", {}), (D2, "a", {}), (D3, "a", {})]), root)
+    history.replace_days(raw_weather(spark, [(D1, "b", {})]), root, "time", "code_insee", [D1, D2])
+    assert [(t.day, c) for t, c, _ in get(spark, root)] == [(1, "b"), (3, "a")]
+    with pytest.raises(ValueError, match="outside"):
+        history.replace_days(raw_weather(spark, [(D3, "b", {})]), root, "time", "code_insee", [D1])
