@@ -14,7 +14,8 @@ for each, so benchmarks of any size are handled.
 
 Null and empty texts and items have no windows and never match. Repeated rows are reported
 once per row, repeated items once per item; an empty table gives no rows; ties between windows
-go to the first. Other columns are ignored, whatever their names.
+go to the first. Null keys are keys like any other: such rows are reported, and removed when
+they hold an item. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skyrisk.llm import hashing
 from skyrisk.llm.texts import slices
@@ -198,7 +200,7 @@ def leaks(
                         [key, item_key, "similarity", "first_word", "n_words", "distance"],
                     )
 
-        known_type = pa.int64() if item_type == "bigint" else pa.int32() if item_type == "int" else pa.string()
+        known_type = to_arrow_type(items.schema[item_key].dataType)
         return texts.mapInArrow(run, schema)
 
     passes = [one_pass(b) for b in _blocks(items, item_key, item_text)]
@@ -207,8 +209,20 @@ def leaks(
     return reduce(DataFrame.unionByName, passes)
 
 
-def without_leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no item; documents without a key stay only if unmatched rows
-    share none, as null keys never match."""
-    found = leaks(documents, items, key, text).select(F.col(key).alias("_leak")).distinct()
-    return documents.join(found, F.col(key) == F.col("_leak"), "left_anti")
+def without_leaks(documents: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows that hold no item, with all their columns. Every task judges the texts it has,
+    so that rows need no key, and none is shuffled."""
+
+    def one_pass(rows: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+        known = documents.sparkSession.sparkContext.broadcast(block)
+        at = rows.columns.index(text)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Items(known.value)
+            for batch in batches:
+                clean = [not (t.is_valid and index.ids and index.matches(t.as_py(), PERCENT)) for t in batch.column(at)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return reduce(one_pass, _blocks(items, item_key, item_text), documents)

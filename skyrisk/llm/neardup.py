@@ -17,8 +17,10 @@ costs a few comparisons per member, and only sets that link with nothing meet th
 
 Links have an exact similarity of at least `percent` hundredths. Cases: null and empty texts
 have no shingles, link with nothing and stay; copies with equal sets form one class from the
-start; repeated rows of a key are copies; rows with a null key take no part and stay, with a
-null component; an empty table gives no rows. Other columns are ignored.
+start; a key with several texts has a row for each, in the class of that text; rows with a
+null key take no part and stay, with a null component; ties between heads of a class go to the
+smallest key, then to the least digest of the text; an empty table gives no rows. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from skyrisk.llm.texts import slices
 
 TREES, ROOT, DEPTH = 24, 4, 8
 HASHES = TREES * ROOT
-SMALL, AHEAD = 12, 6  # size of a region compared at once; neighbours met first in larger ones
+SMALL, AHEAD = 12, 1  # size of a region compared at once; neighbours met first in larger ones
 BLOCK = 512  # members of a region that a task compares with as many others
 NEAREST, SAMPLE = 8, 32  # members that all of a region meet in a round; those that choose them
 # Sketches hold four bits of each hash. A pair at the least similarity falls below the bound
@@ -60,8 +62,14 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _tag(text: str) -> Column:
+    """Tells the texts of a repeated key apart, null from empty included."""
+    return F.md5(F.coalesce(F.concat(F.lit("t"), F.col(text)), F.lit("")).cast("binary"))
+
+
 def described(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """key, n (set size), digest of the set, signature; both null for an empty set."""
+    """key, tag of the text, n (set size), digest of the set, signature; the last two are null
+    for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,12 +81,12 @@ def described(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     signatures.append(signature(s).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-                    ["key", "n", "digest", "signature"],
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
+                    ["key", "tag", "n", "digest", "signature"],
                 )
 
-    schema = "key long, n long, digest binary, signature binary"
-    return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    schema = "key long, tag string, n long, digest binary, signature binary"
+    return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), _tag(text).alias("tag")).mapInArrow(run, schema)
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,8 +256,9 @@ def candidates(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     least = _least(percent)
     ordered = _forest(sets).repartitionByRange("tree", "path", "id").sortWithinPartitions("tree", "path", "id")
     found = landed(ordered.mapInArrow(_candidates(least), PAIR), "candidates")
-    # A few rows per partition of the forest, whatever the number of documents.
-    ends = found.where("kind = 1").select("tree", "path", "a", "sketch").coalesce(1).sortWithinPartitions("tree", "path", "a")
+    # A few rows per partition of the forest, whatever the number of documents; the pieces of a
+    # region meet again in one task.
+    ends = found.where("kind = 1").select("tree", "path", "a", "sketch").repartition(_region()).sortWithinPartitions("tree", "path", "a")
     seams = ends.mapInArrow(_seams(least), PAIR)
     pairs = found.where("kind = 0").select("a", "b").unionByName(seams.select("a", "b")).groupBy("a", "b").agg(F.count("*").alias("votes"))
     pieces = found.where("kind = 2").groupBy(_region()).agg(F.sum("a").alias("n"), F.sum("b").alias("pieces"))
@@ -410,29 +419,67 @@ def _settled(links: DataFrame, joined: DataFrame, regions: DataFrame, sets: Data
     return _linked(landed(pairs, "pairs"), links, known, size, percent)[1]
 
 
-def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """key, n_shingles, component_id (smallest key reachable by links), kept (is it that one?)."""
-    rows = landed(described(df, key, text, size), "sets")
+def _classes(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """One row for equal sets: digest, id, signature, n, and the least key and tag among its
+    rows; and whether any key has several texts. The id is that key or, if it has several
+    texts, a hash."""
     whole = rows.where("key IS NOT NULL AND digest IS NOT NULL")
-    sets = landed(
-        whole.groupBy("digest").agg(F.min(F.struct("key", "signature", "n")).alias("least"))
-        .select("digest", F.col("least.key").alias("id"), "least.signature", "least.n"), "classes",
-    )
+    least = F.min(F.struct("key", "tag", "signature", "n")).alias("least")
+    classes = whole.groupBy("digest").agg(least).select("digest", F.col("least.key").alias("head"), F.col("least.tag").alias("head_tag"), "least.signature", "least.n")
+    several = landed(whole.groupBy("key").agg((F.min("tag") != F.max("tag")).alias("several")).where("several").select(F.col("key").alias("_head")), "several")
+    if several.isEmpty():
+        return landed(classes.withColumn("id", F.col("head")), "classes"), False
+    own = F.when(F.col("_head").isNull(), F.col("head")).otherwise(F.xxhash64("head", "digest"))
+    return landed(classes.join(several, F.col("head") == F.col("_head"), "left").withColumn("id", own).drop("_head"), "classes"), True
+
+
+def _joined(df: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Rows (key, tag, n, id and component of the class, its head and head_tag), the classes with
+    their components, and whether ids may differ from keys."""
+    rows = landed(described(df, key, text, size), "sets")
+    sets, renamed = _classes(rows)
     pairs, regions = candidates(sets, percent)
-    known = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    # A set is verified on the text of its head.
+    heads = sets.select("id", F.col("head").alias("key"), F.col("head_tag").alias("tag"))
+    texts = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    if renamed:
+        known = texts.withColumn("tag", _tag("text")).join(heads, ["key", "tag"]).select("id", "text")
+    else:
+        known = texts.select(F.col("key").alias("id"), "text")
     links, joined = _linked(landed(pairs, "pairs"), None, known, size, percent)
     final = _settled(links, joined, regions, sets, known, size, percent)
-    named = rows.join(sets.select("digest", "id"), "digest", "left").join(
-        final.select(F.col("node").alias("id"), "component"), "id", "left"
-    )
-    component = F.when(F.col("key").isNotNull(), F.coalesce("component", "id", "key"))
-    out = named.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    named = sets.select("digest", "id", "head", "head_tag").join(final.select(F.col("node").alias("id"), "component"), "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
+    return rows.drop("signature").join(named, "digest", "left"), named, renamed
+
+
+def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """key, n_shingles, component_id (smallest key reachable by links), kept (is it that one?)."""
+    rows, classes, renamed = _joined(df, key, text, size, percent)
+    if renamed:
+        smallest = classes.groupBy("component").agg(F.min("head").alias("smallest"))
+        rows = rows.join(smallest, "component", "left")
+    else:
+        rows = rows.withColumn("smallest", F.col("component"))
+    component = F.when(F.col("key").isNotNull(), F.coalesce("smallest", "key"))
+    out = rows.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `df` that stay when each group keeps its smallest key; repeated rows of a
-    kept key stay once."""
-    go = groups(df, key, text, size, percent).where(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
-    left = df.join(go, F.col(key) == F.col("_gone"), "left_anti")
-    return left.where(F.col(key).isNull()).unionByName(left.where(F.col(key).isNotNull()).dropDuplicates([key]))
+    """The rows of `df` that stay when each group keeps one text: that of the smallest key, where
+    that key heads one class. Repeated rows of a key and text stay once, the first by their
+    columns; rows that are in no group, having no shingles or no key, stay."""
+    rows = _joined(df, key, text, size, percent)[0].where("key IS NOT NULL")
+    first = (F.col("id") == F.col("component")) & (F.col("key") == F.col("head")) & (F.col("tag") == F.col("head_tag"))
+    stays = F.coalesce(first, F.col("id").isNull())
+    found = landed(rows.groupBy("key", "tag").agg(F.max(stays).alias("stays"), F.count("*").alias("times")).where("NOT stays OR times > 1"), "decided")
+    on = (F.col(key).cast("long") == F.col("_key")) & (_tag(text) == F.col("_tag"))
+    named = [F.col("key").alias("_key"), F.col("tag").alias("_tag")]
+    left = df.join(small(found.select(*named)), on, "left_anti")
+    again = found.where("stays").select(*named)
+    if again.isEmpty():
+        return left
+    repeated = df.join(small(again), on, "left_semi")
+    order = Window.partitionBy(key, _tag(text)).orderBy(F.to_json(F.struct(*df.columns)))
+    return left.unionByName(repeated.withColumn("_place", F.row_number().over(order)).where("_place = 1").select(*df.columns))

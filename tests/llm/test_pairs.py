@@ -191,3 +191,23 @@ def test_repeats_equal_brute_force(documents, prose, edge, monkeypatch, hot):
     got = Counter(tuple(r) for r in repeats.digests(documents(rows), length=80).collect())
     assert got == brute_repeats(rows, 80)
     assert repeats.digests(documents([]), length=80).count() == 0
+
+
+def test_a_key_with_several_texts_keeps_each_once(spark, documents, prose):
+    one, two, three = prose(80, 1), prose(80, 2), prose(80, 3)
+    rows = [(1, one), (1, two), (1, one), (2, two), (3, three), (2, one + " end"), (None, one), (4, ""), (4, ""), (4, None)]
+    got = Counter((r["doc_id"], r["component_id"]) for r in neardup.groups(documents(rows), size=2).collect())
+    assert got == Counter([(1, 1), (1, 1), (1, 1), (2, 1), (3, 3), (2, 1), (None, None), (4, 4), (4, 4), (4, 4)])
+    kept = neardup.one_of_each(documents(rows), size=2)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, one), (1, two), (3, three), (None, one), (4, ""), (4, None)])
+    assert kept.columns == documents(rows).columns
+
+
+def test_leaks_go_whatever_their_key(spark, documents, prose):
+    items = [(1, prose(20, 5)), (2, None)]
+    rows = [(None, prose(10, 1) + " " + prose(20, 5)), (None, "clean"), (7, prose(20, 5)), (7, "clean too"), (8, None)]
+    for kind in ("short", "long", "string", "decimal(9,0)", "int"):
+        bench = spark.createDataFrame(items, "item_id long, text string").withColumn("item_id", F.col("item_id").cast(kind))
+        assert decontaminate.leaks(documents(rows), bench).count() == 2
+    left = decontaminate.without_leaks(documents(rows), bench)
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter([(None, "clean"), (7, "clean too"), (8, None)])
