@@ -7,13 +7,13 @@ from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from skyrisk import schemas
 from skyrisk.operators.quality import check
 from skyrisk.plans import controls, ingest
 from skyrisk.sources.history import read_history, upsert_history
-from skyrisk.sources.landing import landing_name, load_landing, read_archives, read_bulletins
+from skyrisk.sources.landing import landing_name, read_archives, read_bulletins
 
 
 def last_available_day(now: datetime, lag_days: int = schemas.WEATHER_LAG_DAYS) -> date:
@@ -31,13 +31,6 @@ def next_weather_day(
     return found[0]["jour"] if found else None
 
 
-def land_and_merge(batch: DataFrame, landing: str, root: str, schema: T.StructType, time: str, code: str) -> int:
-    """Write a validated batch to its landing folder, then merge what landed; return the version."""
-    load_landing(batch, landing)
-    landed = batch.sparkSession.read.schema(schema).parquet(landing)
-    return upsert_history(landed, root, schema, schemas.HISTORY_KEY, time, code)
-
-
 def load_weather_day(
     primary: DataFrame,
     secondary: DataFrame,
@@ -49,27 +42,27 @@ def load_weather_day(
     at: datetime | None = None,
 ) -> int:
     """Payloads of one day, all points, into the weather history."""
-    collected = ingest.collect_weather(primary, secondary, manifest, at)
-    batch = ingest.prepare_weather(collected, points, day)
     folder = f"{landing}/{landing_name('meteo', day.isoformat())}"
-    return land_and_merge(batch, folder, root, schemas.RAW_WEATHER, "time", "code_insee")
+    landed = ingest.land_weather(primary, secondary, manifest, points, day, folder, at)
+    return upsert_history(landed, root, schemas.RAW_WEATHER, schemas.HISTORY_KEY, "time", "code_insee")
 
 
 def load_bulletin(spark: SparkSession, path: str, landing: str, root: str, at: datetime | None = None) -> int:
     """One publication into the bulletin history."""
-    batch = ingest.prepare_bulletin_payload(read_bulletins(spark, path), at)
-    stamp = batch.first()["reference_time"].strftime("%Y%m%dT%H%M%SZ")
-    folder = f"{landing}/{landing_name('meteo_forets', stamp)}"
-    return land_and_merge(batch, folder, root, schemas.RAW_BULLETINS, "reference_time", "dep_code")
+    raw = read_bulletins(spark, path)
+    first = raw.select(F.col("reference_time").try_cast("timestamp")).first()  # one record, for the folder's name
+    stamp = first[0].strftime("%Y%m%dT%H%M%SZ") if first and first[0] else "inconnu"
+    landed = ingest.land_bulletin_payload(raw, f"{landing}/{landing_name('meteo_forets', stamp)}", at)
+    return upsert_history(landed, root, schemas.RAW_BULLETINS, schemas.HISTORY_KEY, "reference_time", "dep_code")
 
 
 def load_archives(
     spark: SparkSession, paths: Mapping[int, str], landing: str, root: str, at: datetime | None = None
 ) -> int:
     """Whole years into the bulletin history."""
-    batch = ingest.prepare_archives(read_archives(spark, paths), at)
     folder = f"{landing}/{landing_name('archives_meteo_forets', min(paths), max(paths))}"
-    return land_and_merge(batch, folder, root, schemas.RAW_BULLETINS, "reference_time", "dep_code")
+    landed = ingest.land_archives(read_archives(spark, paths), folder, at)
+    return upsert_history(landed, root, schemas.RAW_BULLETINS, schemas.HISTORY_KEY, "reference_time", "dep_code")
 
 
 def check_points(points: DataFrame, expected: int = schemas.POINT_COUNT) -> DataFrame:

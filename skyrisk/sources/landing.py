@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,8 +13,9 @@ from pyspark.sql import types as T
 from skyrisk import schemas
 from skyrisk.functions.keys import weather_key
 from skyrisk.functions.scalars import any_of, is_missing, safe_double, strict_double
-from skyrisk.operators.quality import ContractError, Rule, row_rule
+from skyrisk.operators.quality import ContractError, Rule, check, row_rule
 from skyrisk.operators.reshape import union_by_name
+from skyrisk.sources.shared import move, remove
 
 DELIMITERS = ";,\t|"
 
@@ -137,13 +139,14 @@ def fallback_batch(
     The unit is the batch: one missing cell replaces every row of its batch. Rows of such
     a batch that the secondary does not answer are named by :func:`unanswered`.
     """
-    bad = _lacking_batches(primary, batch_key, required)
+    bad = lacking_batches(primary, batch_key, required)
     kept = primary.join(bad, batch_key, "left_anti")
     replaced = secondary.join(bad, batch_key, "left_semi")
     return kept.select(*primary.columns).unionByName(replaced.select(*primary.columns))
 
 
-def _lacking_batches(primary: DataFrame, batch_key: str, required: Sequence[str]) -> DataFrame:
+def lacking_batches(primary: DataFrame, batch_key: str, required: Sequence[str]) -> DataFrame:
+    """Batches of which some row lacks a required value."""
     lacking = any_of([is_missing(c) for c in required])
     state = primary.groupBy(batch_key).agg(F.max(lacking).alias("_lacking"))
     return state.where("_lacking").select(batch_key)
@@ -153,7 +156,7 @@ def unanswered(
     primary: DataFrame, secondary: DataFrame, batch_key: str, point: str, required: Sequence[str]
 ) -> DataFrame:
     """(batch, point) of primary rows that fall back but have no secondary row."""
-    bad = _lacking_batches(primary, batch_key, required)
+    bad = lacking_batches(primary, batch_key, required)
     asked = primary.join(bad, batch_key, "left_semi").select(batch_key, point).distinct()
     return asked.join(secondary.select(batch_key, point), [batch_key, point], "left_anti")
 
@@ -161,6 +164,62 @@ def unanswered(
 # --- Validated batches ------------------------------------------------------------------
 
 
+def observed(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Callable[[], list[tuple[str, int]]]]:
+    """The frame, and the (rule, violations) of rules that are measured, to be asked for once a
+    job has read all of it: no pass of their own."""
+    measured = [r for r in rules if r.measure is not None]
+    if len(measured) < len(rules):
+        raise ValueError("Rules about keys and groups cannot be measured row by row")
+    seen = Observation()
+    # The count keeps a frame without rows from being optimised away with its measures.
+    totals = [F.coalesce(r.measure.cast("long"), F.lit(0)).alias(f"_{i}") for i, r in enumerate(measured)]
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *totals)
+
+    def found() -> list[tuple[str, int]]:
+        counts = seen.get
+        return [(r.name, counts[f"_{i}"]) for i, r in enumerate(measured)]
+
+    return watched, found
+
+
+def refuse(found: Sequence[tuple[str, int]]) -> None:
+    """Raise with the broken rules among (rule, violations)."""
+    if broken := sorted((name, n) for name, n in found if n):
+        raise ContractError("; ".join(f"{name} ({n})" for name, n in broken))
+
+
+def land_checked(
+    raw: DataFrame,
+    shape: Callable[[DataFrame], DataFrame],
+    path: str,
+    raw_rules: Sequence[Rule] = (),
+    rules: Sequence[Rule] = (),
+    group_rules: Sequence[Rule] = (),
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Validate while landing: `raw` is read once, by the job that writes `shape(raw)`.
+
+    Rules on raw and on shaped rows are measured by that job; rules about keys and groups are
+    asked of what it wrote. The batch is written beside its place, and moved there when every
+    rule holds; a refused or interrupted one is removed, and what was at `path` stays. Files are
+    sorted by `order` within themselves, without a shuffle.
+    """
+    spark, aside = raw.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    watched, raw_found = observed(raw, raw_rules)
+    shaped, found = observed(shape(watched), rules)
+    batch = shaped.sortWithinPartitions(*order) if order else shaped
+    try:
+        batch.write.parquet(aside)
+        refuse([*raw_found(), *found()])
+        landed = spark.read.schema(shaped.schema).parquet(aside)
+        if group_rules:
+            check(landed, group_rules)
+        move(spark, aside, path)
+    finally:
+        remove(spark, aside)
+    return spark.read.schema(shaped.schema).parquet(path)
+
+
 def load_landing(df: DataFrame, path: str, expected: int | None = None) -> int:
     """Overwrite the landing folder with a batch; count its rows while writing."""
     seen = Observation("landing")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyrisk import schemas
-from skyrisk.plans.ingest import prepare_bulletins
+from skyrisk.plans.ingest import validated_bulletins
 from skyrisk.sources.history import upsert_history
 
 
@@ -22,7 +22,7 @@ def refresh_bulletins(
     landing: str,
     root: str,
     checkpoint: str | None = None,
-    prepare: Callable[[DataFrame], DataFrame] = prepare_bulletins,
+    prepare: Callable[[DataFrame], DataFrame] = validated_bulletins,
 ) -> None:
     """Merge every new bulletin file of ``landing`` into the history at ``root``, then stop.
 

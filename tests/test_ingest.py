@@ -191,3 +191,50 @@ def test_a_lacking_batch_without_substitute_is_named(spark):
     whole = spark.createDataFrame([(1, "a", 5.0), (1, "b", 6.0), (3, "d", 7.0)], primary.schema)
     assert landing.unanswered(primary, whole, "batch_id", "code_insee", ["v"]).isEmpty()
     assert rows(landing.fallback_batch(primary, whole, "batch_id", ["v"])) == [(1, "a", 5.0), (1, "b", 6.0), (2, "c", 1.0), (3, "d", 7.0)]
+
+
+def counted(spark, df):
+    """The frame, and how many of its rows have been read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    return df.mapInPandas(run, df.schema), seen
+
+
+def test_bulletins_are_read_once_while_they_land(spark, tmp_path):
+    raw, seen = counted(spark, raw_bulletins(spark, bulletin()))
+    path = str(tmp_path / "landing" / "one")
+    landed = ingest.land_bulletin_payload(raw, path, AT)
+    assert seen.value == 96
+    assert rows(landed) == rows(ingest.prepare_bulletin_payload(raw_bulletins(spark, bulletin()), AT))
+    assert [p.name for p in (tmp_path / "landing").iterdir()] == ["one"]
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    # A refused batch leaves what landed before.
+    for bad, rule in ((bulletin(j1="7"), "whole_between:niveau_j1 .96"), (bulletin(codes=["01"] * 96), "unique"), ([], "not_empty")):
+        raw, seen = counted(spark, raw_bulletins(spark, bad))
+        with pytest.raises(ContractError, match=rule):
+            ingest.land_bulletin_payload(raw, path, AT)
+        assert seen.value == len(bad)
+    assert [p.name for p in (tmp_path / "landing").iterdir()] == ["one"] and spark.read.parquet(path).count() == 96
+
+
+def test_payloads_are_parsed_once_while_they_land(spark, tmp_path):
+    holes = [daily(precipitation_sum=[None]), daily()]
+    backup = [daily(precipitation_sum=[9.0]), daily(temperature_2m_mean=[4.0])]
+    first, seen = counted(spark, payloads(spark, holes))
+    second, again = counted(spark, payloads(spark, backup))
+    path = str(tmp_path / "l" / "day")
+    landed = ingest.land_weather(first, second, manifest(spark, ["a", "b"], DAY), points(spark, ["a", "b"]), DAY, path, AT)
+    assert rows(landed, "code_insee", "precipitation_sum", "temperature_2m_mean") == [("a", 9.0, 1.0), ("b", 1.0, 4.0)]
+    assert seen.value == 1 and again.value <= 2  # the names of its batches, then their payloads
+    assert [p.name for p in (tmp_path / "l").iterdir()] == ["day"]
+    with pytest.raises(ContractError, match="No substitute"):
+        ingest.land_weather(first, second.limit(0), manifest(spark, ["a", "b"], DAY), points(spark, ["a", "b"]), DAY, path, AT)
+    with pytest.raises(ContractError, match="other_day"):
+        ingest.land_weather(payloads(spark, [daily("2026-09-02"), daily()]), second, manifest(spark, ["a", "b"], DAY), points(spark, ["a", "b"]), DAY, path, AT)
+    assert [p.name for p in (tmp_path / "l").iterdir()] == ["day"]
