@@ -48,6 +48,10 @@ HEADLINE = [
     "feature_medians",
     "forest_metrics",
     "scored_features",
+    "landed_bulletins",
+    "validity_overlaps",
+    "area_day_deciles",
+    "merged_sketches",
 ]
 
 
@@ -57,11 +61,14 @@ def main() -> None:
     spark = local_session(cores, shuffle_partitions=int(cores) if cores.isdigit() else 8)
     # The first build compiles the plans that most queries share.
     QUERIES["rank_areas"](spark, folder).write.format("noop").mode("overwrite").save()
-    seconds = {}
+    seconds, errors = {}, {}
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        try:
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            seconds[name] = round(time.perf_counter() - start, 3)
+        except Exception as error:  # one query must not lose the timings of the others
+            errors[name] = f"{type(error).__name__}: {str(error)[:200]}"
     print(
         json.dumps(
             {
@@ -71,6 +78,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": Path(folder).name.removeprefix("sf"),
             }
+            | ({"errors": errors} if errors else {})
         )
     )
     spark.stop()

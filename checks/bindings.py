@@ -16,6 +16,7 @@ from skyrisk import schemas
 from skyrisk.functions.keys import iso_utc, make_id, sha256_hex
 from skyrisk.plans import build, explore, model
 from skyrisk.session import pin_settings
+from skyrisk.sources.shared import fresh_folder
 
 # Raw weather variable -> expression over lineitem. Humidity and rain are sometimes
 # missing, so that completeness flags and gates have something to do.
@@ -57,6 +58,16 @@ LEVEL_J2 = (
     "CAST(CASE WHEN o_totalprice > 400000 THEN 4 WHEN o_orderstatus = 'F' THEN 1"
     " WHEN o_orderstatus = 'O' THEN 2 ELSE 3 END AS BIGINT)"
 )
+# A raw bulletin as text -> expression; the first digit of its key chooses the fault.
+_DIGIT = "SUBSTR(row_hash, 1, 1)"
+FAULTS = {
+    "reference_time": f"CASE WHEN {_DIGIT} = '0' THEN 'no date' ELSE CAST(reference_time AS STRING) END",
+    "dep_code": f"CASE WHEN {_DIGIT} = '1' THEN '99' ELSE dep_code END",
+    "nom_dep": f"CASE WHEN {_DIGIT} = '2' THEN ' ' ELSE nom_dep END",
+    "niveau_j1": f"CASE WHEN {_DIGIT} = '3' THEN '5' ELSE CAST(niveau_j1 AS STRING) END",
+    "niveau_j2": f"CASE WHEN {_DIGIT} = '4' THEN '2.5' ELSE CAST(niveau_j2 AS STRING) END",
+    "annee_archive": f"CASE WHEN {_DIGIT} = '5' THEN annee + 1 ELSE annee END",
+}
 AREA_OF_NATION = "CAST({} + 21 AS {})"
 
 SPLIT = model.Split(train_years=(1995, 1996, 1997, 1998, 1999), test_year=2000, test_end=date(2000, 10, 2))
@@ -133,6 +144,41 @@ class Lake:
     def tables(self) -> dict[str, DataFrame]:
         return build.build(self.raw_weather, self.raw_bulletins, self.points)
 
+    @cached_property
+    def warehouse(self) -> dict[str, DataFrame]:
+        """The same tables, written once to the shared folder and read from there."""
+        every = [*build.WRITTEN, "stg_meteo_journaliere", "stg_meteo_forets", "int_meteo_communes", "referentiel_communes"]
+        root = fresh_folder(self.spark, "warehouse")
+        return build.build(self.raw_weather, self.raw_bulletins, self.points, build.to_warehouse(root, every))
+
+    @cached_property
+    def faulty_bulletins(self) -> DataFrame:
+        """Bulletins as text, with a fault in some fields; the key's first digit chooses it."""
+        raw = self.raw_bulletins.withColumn("annee", F.year("reference_time"))
+        return raw.select(*[F.expr(e).alias(name) for name, e in FAULTS.items()])
+
+    @cached_property
+    def faulty_weather(self) -> DataFrame:
+        expected = sha256_hex(make_id(F.lit("1998-07-01"), "code_insee"))
+        digit = F.substring("row_hash", 1, 1)
+        return self.raw_weather.withColumns(
+            {
+                "precipitation_sum": F.when(digit == "0", float("inf")).otherwise(F.col("precipitation_sum")),
+                "row_hash": F.when(digit < "8", expected).otherwise(F.col("row_hash")),
+                "insere_a": F.when(digit != "2", F.col("insere_a")),
+            }
+        )
+
+    @cached_property
+    def regional(self) -> DataFrame:
+        """Regions as points, observed on the days that one of their customers ordered: some days
+        have all five, some have not."""
+        orders, customer, nation = self.table("orders"), self.table("customer"), self.table("nation")
+        rows = orders.join(customer, F.expr("o_custkey = c_custkey")).join(nation, F.expr("c_nationkey = n_nationkey"))
+        day, code = F.to_date("o_orderdate"), F.concat(F.lit("R"), F.col("n_regionkey").cast("string"))
+        prices = rows.groupBy(day.alias("jour"), code.alias("code_insee")).agg(F.max(F.expr("CASE WHEN o_totalprice > 30000 THEN o_totalprice END")).alias("prix"))
+        return prices.select(F.col("jour").cast("timestamp").alias("time"), "code_insee", make_id("jour", "code_insee").alias("row_hash"), "prix")
+
     @cached_property
     def explored(self) -> DataFrame:
         return explore.with_areas(

@@ -182,6 +182,17 @@ CTES: dict[str, tuple[list[str], str]] = {
         ["bounds"],
         "SELECT CAST(UNNEST(generate_series(date_min, date_max, INTERVAL 1 DAY)) AS DATE) AS date FROM bounds",
     ),
+    "regional": (
+        [],
+        """SELECT CAST(o_orderdate AS DATE) AS jour, 'R' || CAST(n_regionkey AS VARCHAR) AS code_insee,
+            MAX(CASE WHEN o_totalprice > 30000 THEN o_totalprice END) AS prix
+            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""",
+    ),
+    "validity": (
+        ["area_day"],
+        """SELECT numero_departement, date, COALESCE(LEAD(date) OVER (PARTITION BY numero_departement ORDER BY date),
+            DATE '9999-12-31') AS date_suivante FROM area_day""",
+    ),
     "point_days": (
         ["raw_weather"],
         f"""SELECT code_insee, CAST(time AS DATE) AS jour,

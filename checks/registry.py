@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle as O
 from checks.bindings import SPLIT, Lake, lake
 from skyrisk import schemas
 from skyrisk.functions import dates, keys, scalars
-from skyrisk.operators import aggregates, joins, quality, reshape, upsert, windows
+from skyrisk.operators import aggregates, intervals, joins, quality, ranks, reshape, sketches, upsert, windows
 from skyrisk.plans import contracts, controls, explore, ingest, marts, model, staging
-from skyrisk.sources import landing
+from skyrisk.sources import history, landing, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -506,13 +506,13 @@ _TABLE_CTES = {
 }
 
 
-def _contract_sql() -> str:
+def _contract_sql(relations: dict[str, str] = _TABLE_CTES) -> str:
     lines = []
 
     def add(table: str, rule: str, body: str) -> None:
         lines.append(f"SELECT '{table}' AS \"table\", '{rule}' AS rule, CAST(({body}) AS BIGINT) AS violations")
 
-    for table, relation in _TABLE_CTES.items():
+    for table, relation in relations.items():
         for c in contracts.NOT_NULL[table]:
             add(table, f"not_null:{c}", f"SELECT COUNT(*) FROM {relation} WHERE {c} IS NULL")
         for c, values in contracts.ACCEPTED.get(table, {}).items():
@@ -526,7 +526,7 @@ def _contract_sql() -> str:
                 f"SELECT COUNT(*) FROM (SELECT {c} FROM {relation} WHERE {c} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)",
             )
         for c, (parent, key) in contracts.REFERENCES.get(table, {}).items():
-            parent_relation = _TABLE_CTES[parent]
+            parent_relation = relations[parent]
             add(
                 table,
                 f"references:{c}",
@@ -537,7 +537,32 @@ def _contract_sql() -> str:
 
 @query(["calendar", "danger_weather", "training"], _contract_sql())
 def contract_report(x: Lake) -> DataFrame:
-    return contracts.check_tables(x.tables)
+    return contracts.check_tables(x.warehouse)
+
+
+# Tables with breaches, as expressions that both sides read.
+_BREACHES = {
+    "dim_departement": (["numero_departement", "departement", "CASE WHEN region = 'ASIA' THEN NULL ELSE region END AS region"], "departement NOT LIKE 'A%'"),
+    "dim_date": (["date", "annee", "numero_mois", "saison"], "date < DATE '1998-01-01'"),
+    "fact_danger_incendie": (
+        [
+            "CASE WHEN niveau_danger = 4 THEN substr(id_danger_incendie, 1, 4) ELSE id_danger_incendie END AS id_danger_incendie",
+            "reference_time", "date_prevision",
+            "CASE WHEN echeance = 'J2' AND niveau_danger = 1 THEN NULL ELSE numero_departement END AS numero_departement",
+            "CASE WHEN niveau_danger = 3 THEN 'J3' ELSE echeance END AS echeance", "niveau_danger + 1 AS niveau_danger",
+        ],
+        "TRUE",
+    ),
+}
+
+
+@query(
+    ["calendar", "areas", "danger"],
+    _contract_sql({t: f"(SELECT {O._list(e)} FROM {_TABLE_CTES[t]} WHERE {w})" for t, (e, w) in _BREACHES.items()}),
+)
+def contract_breaches(x: Lake) -> DataFrame:
+    """Rules that hold beside rules that do not."""
+    return contracts.check_tables({t: x.warehouse[t].where(w).selectExpr(*e) for t, (e, w) in _BREACHES.items()})
 
 
 @query(
@@ -987,3 +1012,334 @@ def scored_features(x: Lake) -> DataFrame:
 def historical_predictions(x: Lake) -> DataFrame:
     _, train, test = model.split_parts(x.usable, SPLIT)
     return model.compare_history(model.train_tree(train).predict(test))
+
+
+# --- Faults among good rows: rules with both outcomes -----------------------------------
+
+
+def _with_digit(condition: str, relation: str = "raw_bulletins") -> str:
+    return f"SELECT COUNT(*) FROM {relation} WHERE substr(row_hash, 1, 1) {condition}"
+
+
+@query(
+    ["raw_bulletins"],
+    _report_sql(
+        [
+            ("not_empty", "SELECT 0"),
+            ("timestamp:reference_time", _with_digit("= '0'")),
+            ("known_area:dep_code", _with_digit("= '1'")),
+            ("not_blank:nom_dep", _with_digit("= '2'")),
+            ("whole_between:niveau_j1", _with_digit("= '3'")),
+            ("whole_between:niveau_j2", _with_digit("= '4'")),
+            ("in_year:reference_time", _with_digit("IN ('0', '5')")),
+        ]
+    ),
+)
+def landing_faults(x: Lake) -> DataFrame:
+    """What the one job that writes a batch finds wrong with it."""
+    rules = [*ingest.bulletin_row_rules(), quality.in_year("reference_time", "annee_archive")]
+    watched, found = landing.observed(x.faulty_bulletins, rules)
+    ingest.normalize_bulletins(watched).write.parquet(shared.fresh_folder(x.spark, "landing"))
+    return x.spark.createDataFrame(found(), "rule string, violations long")
+
+
+@query(
+    ["raw_bulletins"],
+    "SELECT reference_time, trim(dep_code) AS dep_code, trim(nom_dep) AS nom_dep, niveau_j1, niveau_j2 FROM raw_bulletins",
+)
+def landed_bulletins(x: Lake) -> DataFrame:
+    """Text validated while it lands, read back typed."""
+    text = x.raw_bulletins.select(*[F.col(c).cast("string").alias(c) for c in schemas.ARCHIVE_COLUMNS])
+    path = shared.fresh_folder(x.spark, "landed")
+    return landing.land_checked(text, ingest.normalize_bulletins, path, ingest.bulletin_row_rules(), order=ingest.BULLETIN_KEYS)
+
+
+@query(
+    ["raw_weather", "points"],
+    _report_sql(
+        [
+            ("not_null:insere_a", _with_digit("= '2'", "raw_weather")),
+            ("finite", _with_digit("= '0'", "raw_weather")),
+            ("key_matches:row_hash", _with_digit(">= '8'", "raw_weather")),
+            (
+                "same_keys:code_insee",
+                "SELECT COUNT(*) FROM (SELECT DISTINCT code_insee AS a FROM raw_weather) FULL JOIN (SELECT DISTINCT"
+                " CASE WHEN region = 'ASIA' THEN code_insee || '9' ELSE code_insee END AS b FROM points) ON a = b WHERE a IS NULL OR b IS NULL",
+            ),
+        ]
+    ),
+)
+def weather_faults(x: Lake) -> DataFrame:
+    renamed = x.points.select(F.expr("CASE WHEN region = 'ASIA' THEN code_insee || '9' ELSE code_insee END").alias("code_insee"))
+    rules = [
+        *quality.not_null("insere_a"), quality.finite(*schemas.WEATHER_VARIABLES),
+        quality.key_matches("row_hash", keys.weather_key(F.lit(date(1998, 7, 1)), "code_insee")),
+        quality.same_keys("code_insee", renamed, "code_insee"),
+    ]
+    return quality.validate(x.faulty_weather, rules)
+
+
+@query(
+    ["points"],
+    _report_sql(
+        [
+            ("row_count", "SELECT 0"),
+            ("unique:code_insee", "SELECT 0"),
+            ("unique:numero_departement", "SELECT COUNT(*) FROM (SELECT 1 FROM points WHERE departement NOT LIKE 'A%' GROUP BY numero_departement HAVING COUNT(*) > 1)"),
+            (
+                "group_size:region",
+                "SELECT COUNT(*) FROM (SELECT 1 FROM points WHERE departement NOT LIKE 'A%' GROUP BY region HAVING COUNT(DISTINCT numero_departement) <> 5)",
+            ),
+            ("same_keys:numero_departement", "SELECT COUNT(DISTINCT numero_departement) FROM points WHERE departement LIKE 'A%'"),
+        ]
+    ),
+)
+def point_faults(x: Lake) -> DataFrame:
+    some = x.points.where("departement NOT LIKE 'A%'")
+    rules = [
+        quality.row_count(some.agg(F.count("*")).scalar()), quality.unique("code_insee"), quality.unique("numero_departement"),
+        quality.group_size(["region"], "numero_departement", 5), quality.same_keys("numero_departement", x.points, "numero_departement"),
+    ]
+    return quality.validate(some, rules)
+
+
+_REGION_DAYS = """SELECT CAST(d AS DATE) AS {day}, COALESCE(n, 0) AS lignes, COALESCE(n, 0) AS {second}, COALESCE({third}, 0) AS {name}
+    FROM (SELECT UNNEST(generate_series({low}, {high}, INTERVAL 1 DAY)) AS d)
+    LEFT JOIN (SELECT jour, COUNT(*) AS n, COUNT(prix) AS p FROM regional GROUP BY 1) ON jour = d"""
+
+
+@query(
+    ["regional"],
+    "SELECT * FROM ("
+    + _REGION_DAYS.format(
+        day="date_observation", second="cles_uniques", third="n", name="communes",
+        low="(SELECT MIN(jour) FROM regional)", high="(SELECT MAX(jour) FROM regional)",
+    )
+    + ") WHERE lignes <> 5",
+)
+def incomplete_region_days(x: Lake) -> DataFrame:
+    return controls.incomplete_days(x.regional, 5)
+
+
+@query(
+    ["regional"],
+    "SELECT jour FROM ("
+    + _REGION_DAYS.format(day="jour", second="communes", third="p", name="completes", low="DATE '1995-01-01'", high="DATE '1996-12-31'")
+    + ") WHERE lignes <> 5 OR completes <> 5",
+)
+def region_days_to_refresh(x: Lake) -> DataFrame:
+    return controls.days_to_refresh(x.regional, date(1995, 1, 1), date(1996, 12, 31), 5, ["prix"])
+
+
+@query(
+    ["regional"],
+    "SELECT CAST(jour AS TIMESTAMP) AS reference_time, COUNT(*) AS lignes, COUNT(*) AS cles_uniques, COUNT(*) AS departements"
+    " FROM regional GROUP BY 1 HAVING COUNT(*) <> 5",
+)
+def incomplete_region_bulletins(x: Lake) -> DataFrame:
+    rows = x.regional.select(F.col("time").alias("reference_time"), "row_hash", F.col("code_insee").alias("numero_departement"))
+    return controls.incomplete_bulletins(rows, 5)
+
+
+@query(
+    ["regional"],
+    "SELECT jour, COUNT(*) AS regions FROM regional GROUP BY 1 HAVING COUNT(*) <> (SELECT COUNT(DISTINCT code_insee) FROM regional)",
+)
+def region_coverage(x: Lake) -> DataFrame:
+    days = x.regional.select(F.to_date("time").alias("jour"), "code_insee")
+    return aggregates.coverage(days, ["jour"], "code_insee", "regions")
+
+
+@query(
+    ["regional"],
+    """SELECT jour, code_insee FROM regional WHERE prix IS NOT NULL AND jour = (SELECT MAX(jour) FROM
+        (SELECT jour FROM regional WHERE prix IS NOT NULL GROUP BY 1 HAVING COUNT(*) = 5))""",
+)
+def latest_complete_region_day(x: Lake) -> DataFrame:
+    days = x.regional.select(F.to_date("time").alias("jour"), "code_insee", "prix")
+    rows = joins.latest_where_complete(days, "jour", "code_insee", F.col("prix").isNotNull(), F.lit(5))
+    return rows.select("jour", "code_insee")
+
+
+@query(
+    ["features", "training"],
+    """SELECT id_feature AS identifiant FROM features WHERE meteo_disponible AND numero_departement = '30' UNION ALL
+        SELECT id_apprentissage FROM training WHERE numero_departement = '31'""",
+)
+def temporal_breaches(x: Lake) -> DataFrame:
+    """A short window in one area, a target a day late in another."""
+    days = F.when(F.col("numero_departement") == "30", 6).otherwise(F.col("nombre_jours_meteo_7j"))
+    late = F.date_add("date_prevision", F.when(F.col("numero_departement") == "31", 1).otherwise(0))
+    t = x.tables
+    return controls.temporal_contract(
+        t["ml_features_incendie"].withColumn("nombre_jours_meteo_7j", days), t["ml_train_incendie"].withColumn("date_prevision", late)
+    )
+
+
+# --- Histories, intervals, positions, sketches ------------------------------------------
+
+
+@query(
+    [],
+    "SELECT sha256(CAST(event_id AS VARCHAR)) AS row_hash, CAST(ts AS TIMESTAMP) AS time,"
+    " CASE WHEN day(ts) % 3 = 0 THEN value + 1 ELSE value END AS value FROM events",
+)
+def published_history(x: Lake) -> DataFrame:
+    """Two loads, the second of which publishes some days again."""
+    root, rows = shared.fresh_folder(x.spark, "history"), x.events_as_weather
+    again = rows.where("day(time) % 3 = 0").withColumn("value", F.col("value") + 1)
+    for batch in (rows, again):
+        history.upsert_history(batch, root, rows.schema, "row_hash", "time", "code_insee")
+    return history.read_history(x.spark, root, rows.schema).select("row_hash", "time", "value")
+
+
+@query(
+    ["validity", "bulletins"],
+    """SELECT row_hash, v.numero_departement, v.date AS date_meteo,
+        CAST(LEAST(date_suivante - 1, date_j2) - GREATEST(v.date, date_j1) + 1 AS BIGINT) AS jours
+        FROM bulletins b JOIN validity v ON v.numero_departement = b.numero_departement
+            AND v.date <= date_j2 AND date_suivante - 1 >= date_j1""",
+)
+def validity_overlaps(x: Lake) -> DataFrame:
+    """Which weather is the last known on the days that a bulletin announces, and for how many."""
+    valid = joins.with_validity(x.tables["int_meteo_departement_jour"].select("numero_departement", "date"), ["numero_departement"], "date")
+    announced = x.tables["stg_meteo_forets"].select("row_hash", "numero_departement", "date_j1", "date_j2")
+    pairs = intervals.overlap_join(
+        announced, valid, ["numero_departement"], (F.unix_date("date_j1"), F.unix_date("date_j2")), (F.unix_date("date"), F.unix_date("date_suivante") - 1)
+    )
+    return pairs.select("row_hash", "numero_departement", F.col("date").alias("date_meteo"), F.col("overlap").alias("jours"))
+
+
+@query(
+    ["area_day"],
+    f"""SELECT numero_departement, date, RANK() OVER w AS rang, DENSE_RANK() OVER w AS rang_dense,
+        ROUND(PERCENT_RANK() OVER w, {O.DIGITS}) AS rang_relatif FROM area_day WINDOW w AS (ORDER BY nombre_points_meteo DESC)""",
+    ["rang_relatif"],
+)
+def area_day_ranks(x: Lake) -> DataFrame:
+    """Area-days by their number of points, with very many ties."""
+    rows = x.tables["int_meteo_departement_jour"].select("numero_departement", "date", "nombre_points_meteo")
+    out = ranks.with_positions(rows, {"nombre_points_meteo": False})
+    return out.select("numero_departement", "date", F.col("rank").alias("rang"), F.col("dense_rank").alias("rang_dense"), F.col("percent_rank").alias("rang_relatif"))
+
+
+@query(
+    ["area_day"],
+    """SELECT numero_departement, date, ROW_NUMBER() OVER w AS position, CAST(NTILE(10) OVER w AS INTEGER) AS decile,
+        CAST(SUM(nombre_points_meteo) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS BIGINT) AS points
+        FROM area_day WINDOW w AS (ORDER BY rafale_vent_maximale DESC, numero_departement, date)""",
+)
+def area_day_deciles(x: Lake) -> DataFrame:
+    """Area-days by their strongest gust: position, decile, points of the seven rows up to each."""
+    rows = x.tables["int_meteo_departement_jour"].select("numero_departement", "date", "rafale_vent_maximale", "nombre_points_meteo")
+    out = ranks.with_positions(rows, {"rafale_vent_maximale": False, "numero_departement": True, "date": True})
+    out = ranks.over_rows(out, 6, {"points": lambda w: F.sum("nombre_points_meteo").over(w)})
+    return out.select("numero_departement", "date", F.col("row_number").alias("position"), ranks.ntile(10).alias("decile"), "points")
+
+
+@query(
+    ["observations"],
+    """SELECT region, date_trunc('month', date)::DATE AS mois, COUNT(*) AS lignes, TRUE AS points_justes, TRUE AS mediane_juste
+        FROM observations GROUP BY 1, 2""",
+)
+def merged_sketches(x: Lake) -> DataFrame:
+    """Months and regions from the sketches of area-days: are the estimates within their error?"""
+    rows = x.tables["int_meteo_communes"].select("region", "numero_departement", "date", "code_insee", "temperature_moyenne")
+    fine = sketches.sketch(rows, ["region", "numero_departement", "date"], {"points": "code_insee"}, {"mediane": "temperature_moyenne"})
+    by = ["region", "mois"]
+    daily = shared.stored(fine, "sketches").withColumn("mois", F.trunc("date", "month"))
+    coarse = sketches.estimates(sketches.merged(daily, by, ["points"], ["mediane"]), ["points"], {"mediane": [0.5]})
+    months = rows.withColumn("mois", F.trunc("date", "month"))
+    exact = months.groupBy(*by).agg(F.count_distinct("code_insee").alias("_points"))
+    # How many temperatures lie below and up to the estimated median.
+    met = months.join(coarse.select(*by, F.col("mediane")[0].alias("_m")), by)
+    share = met.groupBy(*by).agg(F.avg((F.col("temperature_moyenne") < F.col("_m")).cast("int")).alias("_below"), F.avg((F.col("temperature_moyenne") <= F.col("_m")).cast("int")).alias("_upto"))
+    return coarse.join(exact, by).join(share, by).select(
+        *by, F.col("rows").alias("lignes"),
+        (F.abs(F.col("points") - F.col("_points")) <= 1 + 0.08 * F.col("_points")).alias("points_justes"),
+        ((F.col("_below") <= 0.55) & (F.col("_upto") >= 0.45)).alias("mediane_juste"),
+    )
+
+
+# --- Fitted models: what must hold whatever was learnt ----------------------------------
+
+_BASELINE = _METRICS.format(
+    rows="""SELECT cible_niveau_danger AS t, (SELECT cible_niveau_danger FROM guessed WHERE partie = 'train' GROUP BY 1
+        ORDER BY COUNT(*) DESC, 1 LIMIT 1) AS p FROM guessed WHERE partie = 'test'"""
+)
+_MODELS = ["classe majoritaire", "régression logistique", "arbre de décision", "forêt aléatoire"]
+
+
+def _between(column: str, low: float = 0.0) -> Column:
+    return (F.col(column) >= low) & (F.col(column) <= 1)
+
+
+@query(
+    ["guessed"],
+    f"""SELECT 'base' AS modele, lignes, accuracy, f1_macro, TRUE AS plausible FROM ({_BASELINE}) UNION ALL
+        SELECT 'forêt', COUNT(*), NULL, NULL, TRUE FROM guessed WHERE partie = 'test'""",
+    ["accuracy", "f1_macro"],
+)
+def forest_relations(x: Lake) -> DataFrame:
+    """The baseline as it is; of the forest, what is known without learning it again."""
+    base = x.evaluation.baseline.select(F.lit("base").alias("modele"), "*", F.lit(True).alias("plausible"))
+    learnt = x.evaluation.metrics.select(
+        F.lit("forêt").alias("modele"), "lignes", F.lit(None).cast("double").alias("accuracy"), F.lit(None).cast("double").alias("f1_macro"),
+        (_between("accuracy") & _between("f1_macro")).alias("plausible"),
+    )
+    return base.unionByName(learnt)
+
+
+@query([], " UNION ALL ".join(f"SELECT '{v}' AS variable, TRUE AS part, TRUE AS total" for v in schemas.MODEL_FEATURES))
+def importance_relations(x: Lake) -> DataFrame:
+    """Every input once, with a part of one, and parts that add up."""
+    rows = x.evaluation.importances
+    total = rows.agg(F.sum("importance")).scalar()
+    return rows.select("variable", _between("importance").alias("part"), (F.abs(total - 1) < 1e-9).alias("total"))
+
+
+@query(
+    ["guessed"],
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS modele, " + ("accuracy, f1_macro" if i == 0 else "NULL AS accuracy, NULL AS f1_macro") + f", TRUE AS plausible FROM ({_BASELINE})"
+        for i, m in enumerate(_MODELS)
+    ),
+    ["accuracy", "f1_macro"],
+)
+def comparison_relations(x: Lake) -> DataFrame:
+    rows = model.compare_models(x.usable, SPLIT)
+    known = F.col("modele") == _MODELS[0]
+    return rows.select("modele", *[F.when(known, F.col(c)).alias(c) for c in ("accuracy", "f1_macro")], (_between("accuracy") & _between("f1_macro")).alias("plausible"))
+
+
+@query(
+    ["features"],
+    """SELECT meteo_date, meteo_date + CAST(h AS INTEGER) AS date_prevision, numero_departement, departement, region, 'J' || CAST(h AS VARCHAR) AS echeance,
+        TRUE AS niveau_connu, TRUE AS confiance_juste, TRUE AS libelle_juste FROM features, range(1, 3) AS r(h) WHERE meteo_disponible""",
+)
+def scored_relations(x: Lake) -> DataFrame:
+    """Every area, day and horizon once; levels 1 to 4 with their label, a confidence of at least a quarter."""
+    scoring = reshape.expand_horizons(x.tables["ml_features_incendie"].where("meteo_disponible"), "meteo_date")
+    rows = model.score(x.evaluation.model, scoring)
+    return rows.select(
+        "meteo_date", "date_prevision", "numero_departement", "departement", "region", "echeance",
+        F.col("niveau_predit").isin(list(schemas.LEVELS)).alias("niveau_connu"),
+        _between("confiance", 0.25 - 1e-9).alias("confiance_juste"),
+        (F.col("niveau") == scalars.level_label("niveau_predit")).alias("libelle_juste"),
+    )
+
+
+@query(
+    ["guessed"],
+    """SELECT id_apprentissage AS id, cible_niveau_danger, TRUE AS ecart_juste, TRUE AS exact_juste FROM guessed WHERE partie = 'test'""",
+)
+def historical_relations(x: Lake) -> DataFrame:
+    """Predictions of a tree beside what was announced, over the whole test period."""
+    _, train, test = model.split_parts(x.usable, SPLIT)
+    rows = model.compare_history(model.train_tree(train).predict(test))
+    identifier = keys.make_id("date_publication", "numero_departement", "echeance")
+    gap = F.col("niveau_predit") - F.col(schemas.MODEL_TARGET)
+    return rows.select(
+        identifier.alias("id"), schemas.MODEL_TARGET,
+        ((F.col("ecart") == gap) & (F.abs("ecart") <= 3)).alias("ecart_juste"), (F.col("exact") == (gap == 0)).alias("exact_juste"),
+    )

@@ -20,6 +20,7 @@ from skyrisk.operators import quality as Q
 from skyrisk.operators.aggregates import medians
 from skyrisk.operators.joins import latest_where_complete
 from skyrisk.operators.reshape import expand_horizons
+from skyrisk.sources.shared import stored
 
 TARGET = schemas.MODEL_TARGET
 FEATURES = schemas.MODEL_FEATURES
@@ -352,11 +353,11 @@ def train_logistic(train: DataFrame, imputer: Imputer | None = None) -> DangerMo
 def split_parts(df: DataFrame, split: Split = Split()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(all usable rows with their part, train, test).
 
-    The rows are persisted by the single job that checks them, and read from there by
-    training and evaluation.
+    The rows are written to the shared folder once, and read from there by the checks, by
+    training and by evaluation: nothing stays in the executors' memory.
     """
     Q.require_columns(df, [*FEATURES, TARGET, split.day])
-    rows = df.persist()
+    rows = stored(df, "training_rows")
     Q.check(rows, training_rules(MIN_ROWS) + split_rules(split))
     parts = temporal_split(_ready(rows), split)
     return parts, parts.where("partie = 'train'"), parts.where("partie = 'test'")
