@@ -289,33 +289,104 @@ def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _between(least: float, percent: int, once: bool):
-    """Pairs between the members `m` and `other` of a row that may link and are in different
-    components, with the hashes they share. With `once`, only in the first tree where they meet."""
+def _maybe(m: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...], least: float, percent: int, tree: int | None) -> tuple[np.ndarray, ...]:
+    """Pairs between two groups of members that may link and are in different components, with
+    the hashes they share. With `tree`, only those that share no region of a tree before."""
+    ids, component, n, s = m
+    ids_2, component_2, n_2, s_2 = other
+    found = []
+    for i in range(len(ids)):
+        at = np.flatnonzero((component_2 != component[i]) & (100 * np.minimum(n_2, n[i]) >= percent * np.maximum(n_2, n[i])))
+        same = s_2[at] == s[i]
+        votes = same.sum(1)
+        ok = votes >= least * HASHES
+        if tree is not None and ok.any():
+            ok[ok] = same[ok].reshape(-1, TREES, ROOT).all(2).argmax(1) == tree
+        at, votes = at[ok], votes[ok]
+        found.append((np.minimum(ids_2[at], ids[i]), np.maximum(ids_2[at], ids[i]), votes))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _between(least: float, percent: int):
+    """Pairs between the members `m` and `other` of a row that may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                tree = batch.column("tree")[row].as_py()
-                ids, component, n, s = _members(batch.column("m"), row)
-                ids_2, component_2, n_2, s_2 = _members(batch.column("other"), row)
-                found = []
-                for i in range(len(ids)):
-                    at = np.flatnonzero((component_2 != component[i]) & (100 * np.minimum(n_2, n[i]) >= percent * np.maximum(n_2, n[i])))
-                    same = s_2[at] == s[i]
-                    votes = same.sum(1)
-                    ok = votes >= least * HASHES
-                    if once and ok.any():
-                        ok[ok] = same[ok].reshape(-1, TREES, ROOT).all(2).argmax(1) == tree
-                    at, votes = at[ok], votes[ok]
-                    found.append((np.minimum(ids_2[at], ids[i]), np.maximum(ids_2[at], ids[i]), votes))
-                a, b, votes = (np.concatenate(x) for x in zip(*found, strict=True))
+                a, b, votes = _maybe(_members(batch.column("m"), row), _members(batch.column("other"), row), least, percent, None)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(votes.astype(np.int64))], ["a", "b", "votes"])
 
     return run
 
 
+def _packed(least: float, percent: int):
+    """All such pairs of a row in one row, the likeliest first, and the members they are of. The
+    name of the row tells its two blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                tree = batch.column("tree")[row].as_py()
+                a, b, votes = _maybe(_members(batch.column("m"), row), _members(batch.column("other"), row), least, percent, tree)
+                if len(a):
+                    order = np.argsort(-votes, kind="stable")
+                    ids = np.unique(np.r_[a, b])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("cell").slice(row, 1), pa.array([a[order].tobytes()], pa.binary()), pa.array([b[order].tobytes()], pa.binary()),
+                            pa.array([ids.tolist()], pa.list_(pa.int64())),
+                        ],
+                        ["cell", "a", "b", "ids"],
+                    )
+
+    return run
+
+
+def _forested(percent: int):
+    """Links that connect what the pairs of a row connect: a pair is verified on the full sets
+    unless links of the row connect its ends already."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                members = batch.column("sets")[row].values
+                sets = {i: np.frombuffer(x.as_buffer(), np.uint64) for i, x in zip(members.field("id").to_pylist(), members.field("shingles"), strict=True)}
+                above = {i: i for i in sets}
+
+                def root(i: int) -> int:
+                    while above[i] != i:
+                        above[i] = above[above[i]]
+                        i = above[i]
+                    return i
+
+                links = []
+                for i, j in zip(*(np.frombuffer(batch.column(c)[row].as_buffer(), np.int64).tolist() for c in ("a", "b")), strict=True):
+                    p, q = root(i), root(j)
+                    if p != q:
+                        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                        if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                            above[p] = q
+                            links.append((i, j))
+                if links:
+                    x, y = zip(*links, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _shingled(known: DataFrame, size: int) -> DataFrame:
+    """id and sorted shingles, as bytes, of texts (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                sets = [hashing.shingles(t.as_buffer().to_pybytes(), size).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+
+    return known.mapInArrow(run, "id long, shingles binary")
+
+
 @lru_cache(maxsize=64)
 def _set_of(text: bytes, size: int) -> np.ndarray:
     return hashing.shingles(text, size)
@@ -406,7 +477,7 @@ def _settled(links: DataFrame, joined: DataFrame, regions: DataFrame, sets: Data
             F.collect_list(F.struct("id", "component", "n", "signature")).alias("other")
         )
         met = blocks.where("apart").join(landed(nearest, "nearest"), "region").select("tree", "m", "other")
-        pairs = met.mapInArrow(_between(least, percent, False), "a long, b long, votes long").groupBy("a", "b").agg(F.max("votes").alias("votes"))
+        pairs = met.mapInArrow(_between(least, percent), "a long, b long, votes long").groupBy("a", "b").agg(F.max("votes").alias("votes"))
         links, joined = _linked(landed(pairs, "pairs"), links, known, size, percent)
     # Each block of those apart with every other block; a pair of blocks is a task's row.
     names = blocks.select("region", "apart", "block")
@@ -414,9 +485,16 @@ def _settled(links: DataFrame, joined: DataFrame, regions: DataFrame, sets: Data
     both = landed(one.join(two, "region").where("NOT apart_2 OR block_2 >= block"), "block_pairs")
     left = blocks.where("apart").select("region", "tree", "block", "m")
     right = blocks.select("region", F.col("apart").alias("apart_2"), F.col("block").alias("block_2"), F.col("m").alias("other"))
-    met = both.join(left, ["region", "block"]).join(right, ["region", "apart_2", "block_2"]).select("tree", "m", "other")
-    pairs = met.mapInArrow(_between(least, percent, True), "a long, b long, votes long").distinct()
-    return _linked(landed(pairs, "pairs"), links, known, size, percent)[1]
+    cell = F.concat_ws(" ", "region", "block", "apart_2", "block_2").alias("cell")
+    met = both.join(left, ["region", "block"]).join(right, ["region", "apart_2", "block_2"]).select("tree", cell, "m", "other")
+    packed = landed(met.mapInArrow(_packed(least, percent), "cell string, a binary, b binary, ids array<long>"), "packed")
+    # The full sets of the members that pairs are left of, once for each pair of blocks.
+    needed = landed(packed.select("cell", F.explode("ids").alias("id")), "needed")
+    texts = known.join(small(landed(needed.select("id").distinct(), "ends")), "id").select("id", "text")
+    shingled = landed(_shingled(texts, size), "shingles")
+    cells = needed.join(shingled, "id").groupBy("cell").agg(F.collect_list(F.struct("id", "shingles")).alias("sets"))
+    found = landed(packed.drop("ids").join(cells, "cell").mapInArrow(_forested(percent), "a long, b long"), "last_links")
+    return joined if found.isEmpty() else components(links.unionByName(found))
 
 
 def _classes(rows: DataFrame) -> tuple[DataFrame, bool]:

@@ -105,6 +105,23 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 150)}
 
 
+def test_components_over_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(components, "CHUNK", 3)
+    r = random.Random(1)
+    links = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(45)] + [(7, 7), (None, 3), (200, 200)]
+    want = {}
+    for a, b in links:
+        if a is not None:
+            want.setdefault(a, a), want.setdefault(b, b)
+    for _ in want:
+        for a, b in links:
+            if a is not None:
+                want[a] = want[b] = min(want[a], want[b])
+    frame = spark.createDataFrame(links, "a long, b long").repartition(3)
+    assert {r["node"]: r["component"] for r in components.components(frame).collect()} == want
+    assert components.components(frame.limit(0)).count() == 0
+
+
 def brute_leaks(rows, items):
     """Every item-sized window of every document, compared outright."""
     index = decontaminate.Items(items)
