@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import threading
 import time
 from pathlib import Path
 
@@ -46,13 +47,14 @@ HEADLINE = [
     "incomplete_days",
     "summary",
     "feature_medians",
-    "forest_metrics",
-    "scored_features",
     "landed_bulletins",
     "validity_overlaps",
     "area_day_deciles",
     "merged_sketches",
+    "forest_metrics",
+    "scored_features",
 ]
+LIMIT = 300  # seconds after which the jobs of a query are cancelled
 
 
 def main() -> None:
@@ -64,11 +66,15 @@ def main() -> None:
     seconds, errors = {}, {}
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()
+        alarm = threading.Timer(LIMIT, spark.sparkContext.cancelAllJobs)
+        alarm.start()
         try:
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
         except Exception as error:  # one query must not lose the timings of the others
             errors[name] = f"{type(error).__name__}: {str(error)[:200]}"
+        finally:
+            alarm.cancel()
     print(
         json.dumps(
             {
