@@ -113,7 +113,7 @@ def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.digests(table(spark, folder, "documents"))
+    return repeats.digests(table(spark, folder, "documents"), texts=True)
 
 
 # The rules of the query, and words of site names whose pages it lists.

@@ -14,8 +14,9 @@ no comparison: they are told by a 128-bit hash, counted before the shuffle, and
 kind stands for all. Only surroundings of their own are brought together and sorted, with one
 of each kind. Where a run has more than `HOT` kinds it is not brought together: the windows
 are taken apart by where they begin, into parts whose windows share a longer core, and treated
-likewise under the core; where a core is hot as well, single windows are counted by their
-hashes. So no task ever holds a hot group.
+likewise under the core; hot cores are taken apart again, down to single windows, whose core is
+the window itself. So no task ever holds a hot group. Surroundings that come again within one
+text, as where a text repeats a word for long, are one row if their spans touch.
 
 Positions are bytes of UTF-8. Matches stay within a text but may overlap. Equal texts are one
 text with several rows: if long enough, all their bytes are repeated. Null and empty texts,
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ from skyrisk.llm.texts import slices
 
 HOT = 1024  # kinds of surroundings of one run, or of one core, that one task compares
 PARTS = 16  # parts that the windows around a hot anchor are taken apart into
+AGAIN = 4  # parts that the windows of a hot core are taken apart into
 
 
 def _run(length: int) -> int:
@@ -68,43 +71,63 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_rows(length: int):
+    """A row per text and run, with the places where the run is an anchor."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                keys, places, owners = [], [], []
+                keys, places, sizes, owners = [], [], [], []
                 for i, t in enumerate(part.column(1)):
                     if t.is_valid:
                         at, h = anchors(np.frombuffer(t.as_buffer(), np.uint8), length)
-                        keys.append(h.view(np.int64))
-                        places.append(at)
-                        owners.append(np.full(len(at), i))
+                        order = np.argsort(h, kind="stable")
+                        h = h[order]
+                        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
+                        keys.append(h[first].view(np.int64))
+                        places.append(at[order])
+                        sizes.append(np.diff(np.r_[first, len(h)]))
+                        owners.append(np.full(len(first), i))
                 if keys:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys)), part.column(0).take(pa.array(np.concatenate(owners))), pa.array(np.concatenate(places).astype(np.int32))],
-                        ["run", "tid", "pos"],
-                    )
+                    offsets = np.r_[0, np.cumsum(np.concatenate(sizes))]
+                    spots = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(places), pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), part.column(0).take(pa.array(np.concatenate(owners))), spots], ["run", "tid", "places"])
 
     return run
 
 
+COVER_TYPES = (pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+COVER_NAMES = ["cover", "tid", "pos", "last", "n", "low", "high"]
+COVER = "cover binary, tid binary, pos int, last int, n int, low int, high int"
+
+
 def _covers(length: int):
-    """For each spot of a text, the hash of the bytes around it: all windows that hold the
-    anchor's run. The hash depends on how the text's ends cut them."""
+    """For the spots of a text, the hash of the bytes around them: all windows that hold the
+    anchor's run. The hash depends on how the text's ends cut them. Spots of the same run and
+    hash whose spans touch are one row, from `pos` to `last`."""
     back = length - _run(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
             for tid, text, spots in zip(*(batch.column(i) for i in range(3)), strict=True):
                 data, owner = text.as_buffer().to_pybytes(), tid.as_py()
                 for s in spots.as_py():
-                    pos = s["pos"]
-                    low, high = max(0, length - len(data) + pos), min(back, pos)
-                    row = (s["run"], _digest(data[pos - high : pos - low + length], low), owner, pos, low, high)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-            types = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["run", "cover", "tid", "pos", "low", "high"])
+                    chains: dict[bytes, list] = {}  # the open chain of each kind of surroundings
+                    rows = []
+                    for pos in s["places"]:
+                        low, high = max(0, length - len(data) + pos), min(back, pos)
+                        cover = _digest(data[pos - high : pos - low + length], low)
+                        chain = chains.get(cover)
+                        if chain and pos - high <= chain[4] - low + length:
+                            chain[4], chain[5] = pos, chain[5] + 1
+                        else:
+                            chains[cover] = chain = [s["run"], cover, owner, pos, pos, 1, low, high]
+                            rows.append(chain)
+                    for row in rows:
+                        for column, value in zip(out, row, strict=True):
+                            column.append(value)
+            types = (pa.int64(), *COVER_TYPES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["run", *COVER_NAMES])
 
     return run
 
@@ -136,30 +159,32 @@ def extents(contexts: list[tuple[int, bytes]], low: list[int], high: list[int],
     another context; None without one. Offsets lie between `low` and `high`."""
     m = len(order)
     after = [contexts[i][1][contexts[i][0] :] for i in order]
-    before = [contexts[i][1][: contexts[i][0]] for i in order]
-    numbers = [int.from_bytes(b) for b in before]
-    shared = [common(a, b) for a, b in zip(after, after[1:], strict=False)]
-    far, near = [-1] * m, [length + 1] * m
-    for i in range(m):
-        right = length
-        most = high[order[i]]
-        for j in range(i + 1, m):
-            right = min(right, shared[j - 1])
-            if right + min(most, len(before[i])) < length:
-                break  # no later suffix shares a whole window with this one
-            x = numbers[i] ^ numbers[j]
-            left = min(len(before[i]), len(before[j]))
-            if x:
-                left = min(left, ((x & -x).bit_length() - 1) // 8)
-            lo = max(low[order[i]], low[order[j]], length - right)
-            hi = min(most, high[order[j]], left)
-            if lo <= hi:
-                far[i], near[i] = max(far[i], hi), min(near[i], lo)
-                far[j], near[j] = max(far[j], hi), min(near[j], lo)
+    before = [contexts[i][1][: contexts[i][0]][::-1] for i in order]
+    shared = np.array([common(a, b) for a, b in zip(after, after[1:], strict=False)], np.int64)
+    # The common bytes before two anchors, likewise, in the order of what comes before.
+    by_before = sorted(range(m), key=before.__getitem__)
+    rank = np.empty(m, np.int64)
+    rank[by_before] = np.arange(m)
+    shared_before = np.array([common(before[i], before[j]) for i, j in zip(by_before, by_before[1:], strict=False)], np.int64)
+    least, most = np.array(low)[order], np.array(high)[order]
     out: list[tuple[int, int] | None] = [None] * m
     for k, i in enumerate(order):
-        if far[k] >= 0:
-            out[i] = (far[k], near[k])
+        right, left = _shared_with(shared, k), _shared_with(shared_before, rank[k])[rank]
+        lo = np.maximum(np.maximum(least, least[k]), length - np.minimum(right, length))
+        hi = np.minimum(np.minimum(most, most[k]), left)
+        fits = lo <= hi
+        fits[k] = False
+        if fits.any():
+            out[i] = (int(hi[fits].max()), int(lo[fits].min()))
+    return out
+
+
+def _shared_with(shared: np.ndarray, k: int) -> np.ndarray:
+    """Bytes that the `k`-th of sorted strings has in common with each, from those of neighbours."""
+    out = np.empty(len(shared) + 1, np.int64)
+    out[k] = np.iinfo(np.int64).max
+    np.minimum.accumulate(shared[k:], out=out[k + 1 :])
+    np.minimum.accumulate(shared[:k][::-1], out=out[:k][::-1])
     return out
 
 
@@ -210,27 +235,26 @@ def _compare(length: int):
     return run
 
 
-def _cores(length: int):
-    """A row per part of the windows around a hot anchor: hashes of the bytes common to all
+def _cores(length: int, step: int):
+    """A row per part of `step` windows around a hot anchor: hashes of the bytes common to all
     windows of the part, and of all bytes they cover in this text."""
-    back = length - _run(length)
-    step = -(-(back + 1) // PARTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for tid, pos, off, ctx in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                least = max(0, length - (len(ctx) - off))
-                for first in range(0, back + 1, step):
-                    last = min(first + step - 1, back)
-                    low, high = max(first, least), min(last, off)
-                    if low <= high:
-                        core, cover = ctx[off - first : off - last + length], ctx[off - high : off - low + length]
-                        row = (_digest(core, first), _digest(cover, low), tid, pos, low, high)
-                        for column, value in zip(out, row, strict=True):
-                            column.append(value)
-            types = (pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["core", "cover", "tid", "pos", "low", "high"])
+            for at in range(0, batch.num_rows, 500):
+                out: tuple[list, ...] = ([], [], [], [], [], [], [], [], [], [])
+                for tid, pos, off, ctx, first, until in zip(*(batch.slice(at, 500).column(i).to_pylist() for i in range(6)), strict=True):
+                    least = max(0, length - (len(ctx) - off))
+                    for a in range(first, until + 1, step):
+                        b = min(a + step - 1, until)
+                        low, high = max(a, least), min(b, off)
+                        if low <= high:
+                            core, cover = ctx[off - a : off - b + length], ctx[off - high : off - low + length]
+                            row = (_digest(core, a), _digest(cover, low), tid, pos, pos, 1, low, high, a, b)
+                            for column, value in zip(out, row, strict=True):
+                                column.append(value)
+                types = (pa.binary(), *COVER_TYPES, pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["core", *COVER_NAMES, "first", "until"])
 
     return run
 
@@ -243,25 +267,10 @@ def _digest(data: bytes, salt: int) -> bytes:
     return hashlib.blake2b(data, digest_size=16, salt=salt.to_bytes(4)).digest()
 
 
-def _window_rows(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                out: tuple[list, ...] = ([], [], [])
-                for tid, pos, low, high, off, ctx in zip(*(batch.slice(at, 500).column(i).to_pylist() for i in range(6)), strict=True):
-                    for o in range(low, high + 1):
-                        out[0].append(_digest(ctx[off - o : off - o + length], 0))
-                        out[1].append(tid)
-                        out[2].append(pos - o)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())], ["window", "tid", "start"])
-
-    return run
-
-
 def _told(rows: DataFrame, by: str, name: str) -> DataFrame:
     """Rows with the number of rows that have the same cover, and of covers of the same `by`."""
     rows = landed(rows, name).withColumn("place", F.xxhash64("tid", "pos"))
-    covers = landed(rows.groupBy(by, "cover").agg(F.count("*").alias("alike"), F.min("place").alias("least")), f"{name}_covers")
+    covers = landed(rows.groupBy(by, "cover").agg(F.sum("n").alias("alike"), F.min("place").alias("least")), f"{name}_covers")
     # Tables of their own, so that a hot key's part of a join can be split.
     kinds = landed(
         covers.groupBy(by).agg(F.count("*").alias("covers"), F.max("alike").alias("most")).where("covers > 1 OR most > 1").select(by, "covers"),
@@ -274,7 +283,7 @@ def _told(rows: DataFrame, by: str, name: str) -> DataFrame:
 def _whole(told: DataFrame, length: int) -> DataFrame:
     """Spans of surroundings that are found elsewhere as a whole."""
     return told.where("alike > 1").select(
-        "tid", (F.col("pos") - F.col("high")).cast("long").alias("start"), (F.col("pos") - F.col("low") + length).cast("long").alias("end")
+        "tid", (F.col("pos") - F.col("high")).cast("long").alias("start"), (F.col("last") - F.col("low") + length).cast("long").alias("end")
     )
 
 
@@ -283,19 +292,25 @@ OPEN = "covers > 1 AND (alike = 1 OR place = least)"  # what is compared: the ot
 
 def _hot_spans(hot: DataFrame, length: int) -> DataFrame:
     """(tid, start, end) of the repeated windows around hot anchors."""
+    back = length - _run(length)
+    step = -(-(back + 1) // PARTS)
     surroundings = hot.select("tid", "pos", "off", "ctx")
-    parts = surroundings.mapInArrow(_cores(length), "core binary, cover binary, tid binary, pos int, low int, high int")
-    told = _told(parts, "core", "cores")
-    open_ = told.where(OPEN)
-    few = open_.where(F.col("covers") <= HOT).select(F.xxhash64("core").alias("run"), "tid", "pos", "low", "high").join(surroundings, ["tid", "pos"])
-    many = open_.where(F.col("covers") > HOT).select("tid", "pos", "low", "high").join(surroundings, ["tid", "pos"])
-    windows = landed(
-        many.select("tid", "pos", "low", "high", "off", "ctx").mapInArrow(_window_rows(length), "window binary, tid binary, start long"), "windows"
-    )
-    spot = F.xxhash64("tid", "start")
-    counts = windows.groupBy("window").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).where("a != b")
-    single = windows.join(counts, "window").select("tid", "start", (F.col("start") + length).alias("end"))
-    return _whole(told, length).unionByName(single).unionByName(_compared(few, length))
+    parts = surroundings.withColumns({"first": F.lit(0), "until": F.lit(back)})
+    found = []
+    while True:
+        told = _told(parts.mapInArrow(_cores(length, step), f"core binary, {COVER}, first int, until int"), "core", "cores")
+        found.append(_whole(told, length))
+        if step == 1:  # the cores are the windows, of one kind each
+            break
+        open_ = told.where(OPEN)
+        few = open_.where(F.col("covers") <= HOT).select(F.xxhash64("core").alias("run"), "tid", "pos", "low", "high")
+        found.append(_compared(few.join(surroundings, ["tid", "pos"]), length))
+        many = landed(open_.where(F.col("covers") > HOT).select("tid", "pos", "first", "until"), "hot_cores")
+        if many.isEmpty():
+            break
+        parts = surroundings.join(many, ["tid", "pos"]).select("tid", "pos", "off", "ctx", "first", "until")
+        step = -(-step // AGAIN)
+    return reduce(DataFrame.unionByName, found)
 
 
 def _compared(rows: DataFrame, length: int) -> DataFrame:
@@ -315,11 +330,11 @@ def spans(df: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
     """(tid, start, end): byte spans of repeated strings, by the MD5 of the text. Spans of a
     text may overlap; together they cover its repeated bytes, but for those of equal texts."""
     texts = df.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("tid"), F.col(text).cast("binary").alias("text")).where("text IS NOT NULL")
-    found = landed(texts.mapInArrow(_anchor_rows(length), "run long, tid binary, pos int"), "anchors")
-    place = F.xxhash64("tid", "pos")
-    repeated = landed(found.groupBy("run").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("run"), "repeated")
-    spots = found.join(repeated, "run", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("pos", "run")).alias("spots"))
-    covered = _with_texts(texts, spots).mapInArrow(_covers(length), "run long, cover binary, tid binary, pos int, low int, high int")
+    found = landed(texts.mapInArrow(_anchor_rows(length), "run long, tid binary, places array<int>"), "anchors")
+    owner, again = F.xxhash64("tid"), F.max(F.size("places") > 1).alias("again")
+    repeated = landed(found.groupBy("run").agg(F.min(owner).alias("a"), F.max(owner).alias("b"), again).where("a != b OR again").select("run"), "repeated")
+    spots = found.join(repeated, "run", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("run", "places")).alias("spots"))
+    covered = _with_texts(texts, spots).mapInArrow(_covers(length), f"run long, {COVER}")
     told = _told(covered, "run", "runs")
     spot = F.struct("pos", "run", "low", "high", "covers")
     open_ = told.where(OPEN).groupBy("tid").agg(F.collect_set(spot).alias("spots"))
@@ -366,9 +381,11 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     return known.mapInArrow(run, f"{key} {key_type}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
 
 
-def digests(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+def digests(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, texts: bool = False) -> DataFrame:
+    """key, n_bytes, n_removed, n_spans, kept_sha256 of every row; with `texts` also what is kept,
+    as kept_text (what a cut leaves of a character is replaced)."""
     total = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    kept = [F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text")] if texts else []
     return without_repeats(df, key, text, length).select(
-        key, "n_bytes", total.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+        key, "n_bytes", total.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), *kept
     )

@@ -211,6 +211,37 @@ def test_repeats_equal_brute_force(documents, prose, edge, monkeypatch, hot):
     assert repeats.digests(documents([]), length=80).count() == 0
 
 
+def test_hot_cores_are_taken_apart_until_single_windows(documents, prose, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 1)
+    shared = prose(60, 5)
+    rows = [(d, prose(8, d) + shared[d : len(shared) - 2 * d] + prose(8, 70 + d)) for d in range(12)]
+    rows += [(20, "ab" * 300 + prose(20, 1) + "ab" * 200), (21, "abcabcabd" * 60), (22, "ab" * 60)]
+    got = repeats.digests(documents(rows), length=80, texts=True).collect()
+    assert Counter(tuple(r)[:5] for r in got) == brute_repeats(rows, 80)
+    assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in got)
+
+
+def test_extents_of_large_groups_equal_all_pairs():
+    r, length = random.Random(4), 12
+    words = ["".join(r.choices("ab", k=12)) for _ in range(3)]
+    contexts = []
+    for _ in range(60):
+        before, after = (r.choice(words) + r.choice(words))[r.randint(0, 20) :][-9:], (r.choice(words) + r.choice(words))[: r.randint(3, 12)]
+        contexts.append((len(before), (before + "xyz" + after).encode()))
+    low = [max(0, length - (len(c) - o)) for o, c in contexts]
+    high = [min(9, o) for o, _ in contexts]
+    order = sorted(range(60), key=lambda i: contexts[i][1][contexts[i][0] :])
+    want: list = []
+    for i, (o, c) in enumerate(contexts):
+        held = [
+            w for w in range(low[i], high[i] + 1)
+            if any(j != i and low[j] <= w <= high[j] and c[o - w : o - w + length] == d[p - w : p - w + length] for j, (p, d) in enumerate(contexts))
+        ]
+        want.append((max(held), min(held)) if held else None)
+    assert repeats.extents(contexts, low, high, order, length) == want
+    assert any(want) and not all(want)
+
+
 def test_a_key_with_several_texts_keeps_each_once(spark, documents, prose):
     one, two, three = prose(80, 1), prose(80, 2), prose(80, 3)
     rows = [(1, one), (1, two), (1, one), (2, two), (3, three), (2, one + " end"), (None, one), (4, ""), (4, ""), (4, None)]
