@@ -10,9 +10,9 @@ longest continuations; with the common bytes before the anchor they tell how far
 strings reach to either side.
 
 Surroundings of an anchor (all windows that hold its run) that occur as a whole elsewhere need
-no comparison: they are told by a 128-bit hash, counted before the shuffle, and one of each
-kind stands for all. Only surroundings of their own are brought together and sorted, with one
-of each kind. Where a run has more than `HOT` kinds it is not brought together: the windows
+no comparison: they are told by two 64-bit hashes, of the run and of all their bytes, counted
+before the shuffle, and one of each kind stands for all. Only surroundings of their own are
+brought together and sorted, with one of each kind. Where a run has more than `HOT` kinds it is not brought together: the windows
 are taken apart by where they begin, into parts whose windows share a longer core, and treated
 likewise under the core; hot cores are taken apart again, down to single windows, whose core is
 the window itself. So no task ever holds a hot group. Surroundings that come again within one
@@ -70,68 +70,50 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
-def _anchor_rows(length: int):
-    """A row per text and run, with the places where the run is an anchor."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                keys, places, sizes, owners = [], [], [], []
-                for i, t in enumerate(part.column(1)):
-                    if t.is_valid:
-                        at, h = anchors(np.frombuffer(t.as_buffer(), np.uint8), length)
-                        order = np.argsort(h, kind="stable")
-                        h = h[order]
-                        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
-                        keys.append(h[first].view(np.int64))
-                        places.append(at[order])
-                        sizes.append(np.diff(np.r_[first, len(h)]))
-                        owners.append(np.full(len(first), i))
-                if keys:
-                    offsets = np.r_[0, np.cumsum(np.concatenate(sizes))]
-                    spots = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(places), pa.int32()))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), part.column(0).take(pa.array(np.concatenate(owners))), spots], ["run", "tid", "places"])
-
-    return run
-
-
-COVER_TYPES = (pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+COVER_TYPES = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
 COVER_NAMES = ["cover", "tid", "pos", "last", "n", "low", "high"]
-COVER = "cover binary, tid binary, pos int, last int, n int, low int, high int"
+COVER = "cover long, tid binary, pos int, last int, n int, low int, high int"
 
 
 def _covers(length: int):
-    """For the spots of a text, the hash of the bytes around them: all windows that hold the
-    anchor's run. The hash depends on how the text's ends cut them. Spots of the same run and
+    """Anchors with the hash of the bytes around them: all windows that hold the anchor's run.
+    The hash depends on how the text's ends cut them. Anchors of a text with the same run and
     hash whose spans touch are one row, from `pos` to `last`."""
     back = length - _run(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
-            for tid, text, spots in zip(*(batch.column(i) for i in range(3)), strict=True):
-                data, owner = text.as_buffer().to_pybytes(), tid.as_py()
-                for s in spots.as_py():
-                    chains: dict[bytes, list] = {}  # the open chain of each kind of surroundings
-                    rows = []
-                    for pos in s["places"]:
+            for part in slices(batch):
+                out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
+                for tid, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    data = text.as_buffer().to_pybytes() if text.is_valid else b""
+                    chains: dict[tuple[int, int], list] = {}  # the open row of each run and hash
+                    for pos, h in zip(*(x.tolist() for x in _signed(*anchors(np.frombuffer(data, np.uint8), length))), strict=True):
                         low, high = max(0, length - len(data) + pos), min(back, pos)
-                        cover = _digest(data[pos - high : pos - low + length], low)
-                        chain = chains.get(cover)
+                        cover = _digest(data[pos - high : pos - low + length], low, b"cover")
+                        chain = chains.get((h, cover))
                         if chain and pos - high <= chain[4] - low + length:
                             chain[4], chain[5] = pos, chain[5] + 1
                         else:
-                            chains[cover] = chain = [s["run"], cover, owner, pos, pos, 1, low, high]
-                            rows.append(chain)
-                    for row in rows:
-                        for column, value in zip(out, row, strict=True):
-                            column.append(value)
-            types = (pa.int64(), *COVER_TYPES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["run", *COVER_NAMES])
+                            if chain:
+                                _put(out, chain)
+                            chains[h, cover] = [h, cover, tid, pos, pos, 1, low, high]
+                    for chain in chains.values():
+                        _put(out, chain)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), *COVER_TYPES), strict=True)], ["run", *COVER_NAMES])
 
     return run
 
 
+def _signed(at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return at, h.view(np.int64)
+
+
+def _put(columns: tuple[list, ...], row: list | tuple) -> None:
+    for column, value in zip(columns, row, strict=True):
+        column.append(value)
+
+
 def _contexts(length: int):
     """The bytes around each spot of a text, and how many of them come before it."""
     back = length - _run(length)
@@ -250,10 +232,8 @@ def _cores(length: int, step: int):
                         low, high = max(a, least), min(b, off)
                         if low <= high:
                             core, cover = ctx[off - a : off - b + length], ctx[off - high : off - low + length]
-                            row = (_digest(core, a), _digest(cover, low), tid, pos, pos, 1, low, high, a, b)
-                            for column, value in zip(out, row, strict=True):
-                                column.append(value)
-                types = (pa.binary(), *COVER_TYPES, pa.int32(), pa.int32())
+                            _put(out, (_digest(core, a, b"core"), _digest(cover, low, b"cover"), tid, pos, pos, 1, low, high, a, b))
+                types = (pa.int64(), *COVER_TYPES, pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["core", *COVER_NAMES, "first", "until"])
 
     return run
@@ -263,8 +243,8 @@ CONTEXT_NAMES = ["run", "covers", "tid", "pos", "low", "high", "off", "ctx"]
 CONTEXT = "run long, covers long, tid binary, pos int, low int, high int, off int, ctx binary"
 
 
-def _digest(data: bytes, salt: int) -> bytes:
-    return hashlib.blake2b(data, digest_size=16, salt=salt.to_bytes(4)).digest()
+def _digest(data: bytes, salt: int, kind: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8, salt=salt.to_bytes(4), person=kind).digest(), signed=True)
 
 
 def _told(rows: DataFrame, by: str, name: str) -> DataFrame:
@@ -298,12 +278,12 @@ def _hot_spans(hot: DataFrame, length: int) -> DataFrame:
     parts = surroundings.withColumns({"first": F.lit(0), "until": F.lit(back)})
     found = []
     while True:
-        told = _told(parts.mapInArrow(_cores(length, step), f"core binary, {COVER}, first int, until int"), "core", "cores")
+        told = _told(parts.mapInArrow(_cores(length, step), f"core long, {COVER}, first int, until int"), "core", "cores")
         found.append(_whole(told, length))
         if step == 1:  # the cores are the windows, of one kind each
             break
         open_ = told.where(OPEN)
-        few = open_.where(F.col("covers") <= HOT).select(F.xxhash64("core").alias("run"), "tid", "pos", "low", "high")
+        few = open_.where(F.col("covers") <= HOT).select(F.col("core").alias("run"), "tid", "pos", "low", "high")
         found.append(_compared(few.join(surroundings, ["tid", "pos"]), length))
         many = landed(open_.where(F.col("covers") > HOT).select("tid", "pos", "first", "until"), "hot_cores")
         if many.isEmpty():
@@ -330,12 +310,11 @@ def spans(df: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
     """(tid, start, end): byte spans of repeated strings, by the MD5 of the text. Spans of a
     text may overlap; together they cover its repeated bytes, but for those of equal texts."""
     texts = df.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("tid"), F.col(text).cast("binary").alias("text")).where("text IS NOT NULL")
-    found = landed(texts.mapInArrow(_anchor_rows(length), "run long, tid binary, places array<int>"), "anchors")
-    owner, again = F.xxhash64("tid"), F.max(F.size("places") > 1).alias("again")
+    found = landed(texts.mapInArrow(_covers(length), f"run long, {COVER}"), "anchors")
+    owner, again = F.xxhash64("tid", "pos"), F.max(F.col("n") > 1).alias("again")
     repeated = landed(found.groupBy("run").agg(F.min(owner).alias("a"), F.max(owner).alias("b"), again).where("a != b OR again").select("run"), "repeated")
-    spots = found.join(repeated, "run", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("run", "places")).alias("spots"))
-    covered = _with_texts(texts, spots).mapInArrow(_covers(length), f"run long, {COVER}")
-    told = _told(covered, "run", "runs")
+    # Copies of a text have equal rows.
+    told = _told(found.join(repeated, "run", "left_semi").dropDuplicates(["run", "cover", "tid", "pos"]), "run", "runs")
     spot = F.struct("pos", "run", "low", "high", "covers")
     open_ = told.where(OPEN).groupBy("tid").agg(F.collect_set(spot).alias("spots"))
     contexts = landed(_with_texts(texts, open_).mapInArrow(_contexts(length), CONTEXT), "contexts")
