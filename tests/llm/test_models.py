@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+import string
 import zlib
 from collections import Counter
 
@@ -49,6 +51,34 @@ def test_held_out_accuracy_and_edge_rows(spark, documents, edge, corpus, operato
     assert operator.score(documents([]), model).count() == 0
 
 
+def statistics_by_hand(text):
+    t = text or ""
+    n, words, lines = max(len(t), 1), re.split("[ \t\n\r]+", t), t.split("\n")
+    count = lambda letters: sum(c in letters for c in t) / n
+    return {
+        "chars_log": math.log1p(len(t)), "upper": count(string.ascii_uppercase), "digits": count(string.digits),
+        "marks": count("#$%&*@~^=<>{}[]\\"), "bangs": count("!?"), "bars": count("|"), "stops": count(".,;:"),
+        "word_length": n / len(words), "distinct_words": len(set(words)) / len(words),
+        "distinct_lines": len(set(lines)) / len(lines), "words_log": math.log1p(len(words)),
+    }
+
+
+def test_quality_scores_equal_rules_by_hand(spark, documents, edge, corpus):
+    rows, labels = corpus
+    model = quality.fit(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert len(model.rules) > 3
+    want = Counter()
+    for key, text in [*rows, *edge]:
+        x = statistics_by_hand(text)
+        total = model.bias
+        for rule, weight in model.rules:
+            if all((x[model.names[i]] > bound) == above for i, above, bound in rule):
+                total += weight
+        want[key, round(1 / (1 + math.exp(-total)), 9)] += 1
+    got = quality.score(documents([*rows, *edge]), model).collect()
+    assert Counter((r["doc_id"], round(r["score"], 9)) for r in got) == want
+
+
 def test_without_labels_every_score_is_defined(spark, documents, edge):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     df = documents(edge)

@@ -221,6 +221,15 @@ def test_hot_cores_are_taken_apart_until_single_windows(documents, prose, monkey
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_repeats_of_texts_longer_than_a_slice(documents, prose):
+    passage = prose(200, 8)
+    rows = [(1, prose(90_000, 1) + passage + prose(90_000, 2)), (2, prose(100, 3)), (3, prose(95_000, 4) + passage), (4, None)]
+    assert len(rows[0][1]) > 1 << 20
+    got = Counter(tuple(r) for r in repeats.digests(documents(rows)).collect())
+    assert got == brute_repeats(rows, 400)
+    assert sum(n_removed > 0 for _, _, n_removed, _, _ in got) == 2
+
+
 def test_extents_of_large_groups_equal_all_pairs():
     r, length = random.Random(4), 12
     words = ["".join(r.choices("ab", k=12)) for _ in range(3)]

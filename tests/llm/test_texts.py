@@ -7,9 +7,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skyrisk.llm import pieces, secrets
+from skyrisk.llm.texts import slices
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -104,3 +106,13 @@ def test_redaction_keeps_rows_and_columns(documents, edge):
     texts = {r["text"] for r in out.collect()}
     assert "my [assign] end" in texts and "clean" in texts and None in texts
     assert secrets.scan(documents([])).count() == 0
+
+
+def test_slices_hold_all_rows_in_order_and_are_bounded():
+    texts = ["a" * 30, None, "", "é" * 40, "b" * 500, "c", "d" * 99, None]
+    batch = pa.RecordBatch.from_pydict({"key": list(range(8)), "text": texts})
+    parts = list(slices(batch, limit=100))
+    assert [r for p in parts for r in p.column(1).to_pylist()] == texts and len(parts) > 2
+    longest = 500
+    assert all(sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= 100 + longest for p in parts)
+    assert list(slices(batch.slice(0, 0))) == []
