@@ -111,6 +111,31 @@ def test_models_are_saved_with_their_feature_version(spark, tmp_path):
         model.load_model(str(tmp_path / "m"), "another version")
 
 
+def test_a_large_forest_is_grown_kept_and_asked_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(model, "TREES_AT_ONCE", 2)
+    grown, fit = [], model.RandomForestClassifier._fit
+    monkeypatch.setattr(model.RandomForestClassifier, "_fit", lambda self, rows: grown.append(self.getNumTrees()) or fit(self, rows))
+    _, train, test = model.split_parts(learnable(spark))
+    fitted = model.train_forest(train, trees=5)
+    assert grown == [2, 2, 1]
+    parts = [model.RandomForestClassificationModel.load(p.path) for p in fitted.parts]
+    assert len({t.toDebugString for p in parts for t in p.trees}) > 1
+    # All trees vote on each row, and the level with most votes is the first of equals.
+    inputs = fitted.pipeline.transform(fitted.imputer.fill(test)).select("i", "features").collect()
+    votes = {r["i"]: sum(p.predictRaw(r["features"]).toArray() for p in parts) for r in inputs}
+    found = fitted.predict(test)
+    assert found.columns == [*test.columns, "niveau_predit", "confiance"]
+    got = {r["i"]: (r["niveau_predit"], r["confiance"]) for r in found.collect()}
+    assert got == {i: (int(v.argmax()) + 1, pytest.approx(v.max() / v.sum())) for i, v in votes.items()}
+    each = sum(t.featureImportances.toArray() for p in parts for t in p.trees)
+    listed = {r["variable"]: r["importance"] for r in fitted.importances().collect()}
+    assert listed == pytest.approx(dict(zip(FEATURES, each / each.sum())))
+    model.save_model(fitted, str(tmp_path / "m"))
+    again = model.load_model(str(tmp_path / "m"))
+    assert rows(again.predict(test), "i", "niveau_predit", "confiance") == rows(found, "i", "niveau_predit", "confiance")
+    assert rows(again.importances()) == rows(fitted.importances())
+
+
 def test_class_weights_are_balanced(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,)], f"{TARGET} int")
     assert rows(model.class_weights(df)) == [(1, 3, pytest.approx(4 / 6)), (2, 1, 2.0)]
