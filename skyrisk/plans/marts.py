@@ -42,9 +42,16 @@ SAME_DAY = [
 # --- Weather ----------------------------------------------------------------------------
 
 
+# A list of at most so many points is sent to the observations; around a longer one both sides
+# are shuffled, with the same rows.
+SENT_POINTS = 500_000
+
+
 def enrich_points(weather: DataFrame, points: DataFrame) -> DataFrame:
     """Observations with the attributes of their point; unknown points are dropped."""
     places = points.select(*schemas.POINTS.names)
+    if places.limit(SENT_POINTS + 1).count() <= SENT_POINTS:
+        places = F.broadcast(places)
     return weather.join(places, "code_insee").select(
         "row_hash",
         "insere_a",

@@ -4,7 +4,8 @@ import pytest
 from helpers import points, raw_weather, rows
 from test_marts import bulletins, day, history
 
-from skyrisk.plans import build, contracts
+from skyrisk.operators import quality
+from skyrisk.plans import build, contracts, marts, staging
 
 
 def counted(spark, df):
@@ -40,3 +41,26 @@ def test_a_contract_report_reads_each_table_twice(spark, seed, tmp_path):
     assert rows(report.where("violations > 0")) == []
     for name, (_, seen) in both.items():
         assert seen.value <= 2 * stored[name].count(), name
+
+
+def test_observations_are_not_shuffled_to_a_list_of_points_of_bounded_size(spark, seed, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weather = staging.stage_weather(raw_weather(spark, [(day(n), c, {}) for n in range(4) for c in ("a1", "b1", "zz")]))
+        few = marts.enrich_points(weather, seed)
+        assert "Exchange hashpartitioning" not in few._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(marts, "SENT_POINTS", 2)
+        many = marts.enrich_points(weather, seed)
+        assert "Exchange hashpartitioning" in many._jdf.queryExecution().executedPlan().toString()
+        assert rows(few) == rows(many) and few.count() == 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_travel_in_sixteen_bytes_however_long(spark):
+    long = "k" * 500
+    df = spark.createDataFrame([(long + "1",), (long + "1",), (long + "2",), (None,), ("",)], "k string")
+    rule = quality.unique("k")
+    tagged = quality._tagged(df, [(0, ["k"], True, False)])
+    assert {len(r["key"]) for r in tagged.collect()} == {16} and tagged.count() == 4
+    assert rows(quality.validate(df, [rule, quality.references("k", df.limit(0), "k")])) == [("references:k", 4), ("unique:k", 1)]
