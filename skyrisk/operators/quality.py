@@ -174,10 +174,11 @@ def _key(columns: Sequence[str], nulls: bool) -> Column:
 
 
 def _tagged(df: DataFrame, asked: Sequence[tuple[int, Sequence[str], bool, bool]]) -> DataFrame:
-    """(rule, key, own, other): what each row adds to each rule that asks this frame for a key."""
+    """(rule, key, own, other): what each row adds to each rule that asks this frame for a key.
+    Keys travel as the 16 bytes of their MD5, however long they are."""
     items = [
         F.struct(
-            F.lit(i).alias("rule"), _key(columns, nulls).alias("key"),
+            F.lit(i).alias("rule"), F.unhex(F.md5(_key(columns, nulls))).alias("key"),
             F.lit(int(own)).cast("long").alias("own"), F.lit(int(not own)).cast("long").alias("other"),
         )
         for i, columns, own, nulls in asked
