@@ -36,7 +36,6 @@ from skyrisk.llm.texts import held_out, slices
 BLOCK_BYTES = 8 << 20
 ROUNDS = 2  # passes over all training rows
 GROUP = 200_000  # tokens held at once
-STEPS, MOST_PASSES = 4_000_000, 4  # a round goes over a corpus of fewer tokens several times
 START, END = "<|startoftext|>", "<|endoftext|>"
 CACHE_WORDS = 500_000  # remembered subword ids per Python worker
 
@@ -183,18 +182,15 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarr
         yield slice(a, b), flat[starts[a] : starts[b]], np.diff(starts[a : b + 1])
 
 
-def _round(vocabulary: attention.Vocabulary, weights: attention.Parameters, rate: float, start: int, passes: int = 1):
-    """The weights after all rows of a task, times their tokens, and the tokens. Each group of
-    rows is gone over `passes` times."""
+def _round(vocabulary: attention.Vocabulary, weights: attention.Parameters, rate: float, start: int):
+    """The weights after all rows of a task, times their tokens, and the tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit, tokens, held, size = attention.Fit(weights, rate), 0, [], 0
 
         def over() -> None:
             flat, lengths = (np.concatenate(x) for x in zip(*held, strict=True))
-            windows = attention.examples(vocabulary, flat, lengths, start)
-            for _ in range(passes):
-                fit.over(*windows)
+            fit.over(*attention.examples(vocabulary, flat, lengths, start))
 
         for batch in batches:
             for _, flat, lengths in _groups(batch):
@@ -221,13 +217,12 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"weights": pa.array([total.tobytes()], pa.binary()), "tokens": pa.array([tokens], pa.int64())})
 
 
-def _trained(sequences: DataFrame, vocabulary: attention.Vocabulary, start: int, tokens: float) -> attention.Parameters:
-    """The network after `ROUNDS` rounds over all rows that are not held out. How often a round
-    goes over them is decided by the `tokens` of the corpus, not by how rows fall into tasks."""
+def _trained(sequences: DataFrame, vocabulary: attention.Vocabulary, start: int) -> attention.Parameters:
+    """The network after `ROUNDS` rounds, each once over all rows that are not held out, whatever
+    the size of the corpus."""
     network, schema = attention.initial(), "weights binary, tokens long"
-    passes = max(1, min(MOST_PASSES, round(STEPS / max(tokens, 1))))
     for i in range(ROUNDS):
-        done = landed(sequences.where("NOT held_out").select("ids").mapInArrow(_round(vocabulary, network, 4e-3 / (1 + i), start, passes), schema), "weights")
+        done = landed(sequences.where("NOT held_out").select("ids").mapInArrow(_round(vocabulary, network, 4e-3 / (1 + i), start), schema), "weights")
         sums = done.coalesce(8).mapInArrow(_sums, schema).collect()  # a row per task
         if not sums:
             break
@@ -295,7 +290,7 @@ def score(df: DataFrame, vocabulary_file: str, key: str = "doc_id", text: str =
     schema = f"{key} {key_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
     paired = dealt.groupBy("block").cogroup(words.select("block", "word", "n", "ids").groupBy("block"))
     sequences = landed(paired.applyInArrow(block_sequences, schema + "ids binary"), "sequences")
-    network = _trained(sequences, vocabulary, start, float(counts.sum()))
+    network = _trained(sequences, vocabulary, start)
 
     def model_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -187,3 +187,16 @@ def test_scored_tokens_see_half_a_window():
 def test_shares_sum_to_one_in_each_class():
     vocabulary = attention.Vocabulary(np.random.default_rng(0).integers(0, 9, 3000).astype(float))
     assert np.bincount(vocabulary.of, 10**vocabulary.log_share, attention.CLASSES) == pytest.approx(np.ones(attention.CLASSES))
+
+
+def test_a_small_corpus_is_gone_over_once_a_round_like_any_other(spark):
+    rng, vocabulary = np.random.default_rng(5), attention.Vocabulary(np.arange(1.0, 41.0))
+    texts = [rng.integers(0, 40, n).astype("<u4") for n in (50, 3, 90)]
+    df = spark.createDataFrame([(False, bytearray(t.tobytes())) for t in texts], "held_out boolean, ids binary").coalesce(1)
+    expected = attention.initial()
+    for i in range(lm.ROUNDS):
+        fit = attention.Fit(expected, 4e-3 / (1 + i))
+        fit.over(*attention.examples(vocabulary, np.concatenate(texts), np.array([len(t) for t in texts]), 7))
+        expected = fit.p
+    got = lm._trained(df, vocabulary, 7)
+    assert np.allclose(attention.vector(got), attention.vector(expected), atol=1e-5)
