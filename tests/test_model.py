@@ -136,6 +136,15 @@ def test_a_large_forest_is_grown_kept_and_asked_in_parts(spark, tmp_path, monkey
     assert rows(again.importances()) == rows(fitted.importances())
 
 
+def test_more_rows_mean_fewer_trees_at_once(spark, monkeypatch):
+    assert [model.trees_at_once(n) for n in (0, 30_000, 67_186, 600_000, 10**9)] == [20, 20, 8, 1, 1]
+    _, train, test = model.split_parts(learnable(spark))
+    monkeypatch.setattr(model, "ROWS_AT_ONCE", 3 * train.count() + 1)
+    fitted = model.train_forest(train, trees=7)
+    assert [p.trees for p in fitted.parts] == [3, 3, 1]
+    assert model.classification_metrics(fitted.predict(test)).first()["accuracy"] > 0.95
+
+
 def test_class_weights_are_balanced(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,)], f"{TARGET} int")
     assert rows(model.class_weights(df)) == [(1, 3, pytest.approx(4 / 6)), (2, 1, 2.0)]
