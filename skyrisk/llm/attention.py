@@ -64,13 +64,14 @@ def _exponentials(a: np.ndarray) -> None:
 
 def forward(p: Parameters, rows: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Class logits behind every position of windows of embedding rows."""
-    x = p["tokens"][rows] + p["places"][: rows.shape[1]]
     t = rows.shape[1]
+    x = p["tokens"].take(rows, axis=0)
+    x += p["places"][:t]
     q, k, v = np.split(x @ p["qkv"], 3, axis=2)
-    a = np.matmul(q * np.float32(WIDTH**-0.5), k.transpose(0, 2, 1))
+    a = np.matmul(q * np.float32(WIDTH**-0.5), np.ascontiguousarray(k.transpose(0, 2, 1)))
     a += _LATER[:t, :t]
     _exponentials(a)
-    a /= a.sum(2, keepdims=True)
+    a *= (1 / (a @ np.ones(t, a.dtype)))[:, :, None]
     mixed = np.matmul(a, v)
     h = x + mixed @ p["out"]
     u = h @ p["up"]
@@ -79,38 +80,46 @@ def forward(p: Parameters, rows: np.ndarray) -> tuple[np.ndarray, tuple]:
     return z @ p["classes"] + p["bias"], (x, q, k, v, a, mixed, h, u, r, z)
 
 
+def _outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a' b over all positions, window by window: products so small stay on the task's own core."""
+    return np.matmul(a.transpose(0, 2, 1), b).sum(0)
+
+
 def _gradients(p: Parameters, rows: np.ndarray, goal: np.ndarray, known: np.ndarray) -> tuple[float, Parameters]:
+    """In the numbers of `p`; one array of a wider type would make all that follows as wide."""
     logits, (x, q, k, v, a, mixed, h, u, r, z) = forward(p, rows)
     n, t = rows.shape
-    e = np.exp(logits - logits.max(2, keepdims=True))
-    e /= e.sum(2, keepdims=True)
+    total = max(known.sum(), 1)
+    back = {name: np.ascontiguousarray(p[name].T) for name in ("classes", "down", "up", "out", "qkv")}
+    d = logits
+    if max(d.max(), -d.min()) > 60:
+        d -= d.max(2, keepdims=True)
+    np.exp(d, out=d)
+    d *= (1 / (d @ np.ones(CLASSES, d.dtype)))[:, :, None]
     i, j = np.ogrid[:n, :t]
-    loss = -(np.log(e[i, j, goal] + 1e-20) * known).sum() / max(known.sum(), 1)
-    e[i, j, goal] -= 1
-    d = e * (known / max(known.sum(), 1))[:, :, None]
-    flat = lambda y: y.reshape(-1, y.shape[-1])
-    g = {"classes": flat(z).T @ flat(d), "bias": flat(d).sum(0)}
-    dz = d @ p["classes"].T
-    g["down"] = flat(r).T @ flat(dz)
-    du = (dz @ p["down"].T) * (u > 0)
-    g["up"] = flat(h).T @ flat(du)
-    dh = dz + du @ p["up"].T
-    g["out"] = flat(mixed).T @ flat(dh)
-    dm = dh @ p["out"].T
-    da = np.matmul(dm, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dm)
-    ds = a * (da - (da * a).sum(2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), dv], 2)
-    g["qkv"] = flat(x).T @ flat(dqkv)
-    dx = dh + dqkv @ p["qkv"].T
+    loss = -(np.log(d[i, j, goal] + 1e-20) * known).sum() / total
+    d[i, j, goal] -= 1
+    d *= (known / total).astype(d.dtype)[:, :, None]
+    g = {"classes": _outer(z, d), "bias": d.sum(1).sum(0)}
+    dz = d @ back["classes"]
+    g["down"] = _outer(r, dz)
+    du = dz @ back["down"]
+    du *= u > 0
+    g["up"] = _outer(h, du)
+    dh = dz + du @ back["up"]
+    g["out"] = _outer(mixed, dh)
+    dm = dh @ back["out"]
+    ds = np.matmul(dm, np.ascontiguousarray(v.transpose(0, 2, 1)))
+    ds -= np.einsum("ntw,ntw->nt", dm, mixed)[:, :, None]  # the mean of each row by its weights
+    ds *= a
+    ds *= ds.dtype.type(WIDTH**-0.5)
+    dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dm)], 2)
+    g["qkv"] = _outer(x, dqkv)
+    dx = dh + dqkv @ back["qkv"]
     g["places"] = np.zeros_like(p["places"])
     g["places"][:t] = dx.sum(0)
-    g["tokens"] = np.zeros_like(p["tokens"])
-    # Rows of equal tokens are brought together and summed in runs.
-    order = np.argsort(rows.ravel(), kind="stable")
-    token = rows.ravel()[order]
-    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-    g["tokens"][token[first]] = np.add.reduceat(flat(dx)[order], first, axis=0)
+    cell = rows.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+    g["tokens"] = np.bincount(cell.ravel(), dx.ravel(), p["tokens"].size).astype(dx.dtype).reshape(p["tokens"].shape)
     return float(loss), g
 
 
@@ -130,9 +139,16 @@ class Fit:
             _, g = _gradients(self.p, rows[b], goal[b], known[b])
             self.steps += 1
             for k, p in self.p.items():
-                self.m[k] = 0.9 * self.m[k] + 0.1 * g[k]
-                self.s[k] = 0.99 * self.s[k] + 0.01 * g[k] ** 2
-                p -= self.rate * (self.m[k] / (1 - 0.9**self.steps)) / (np.sqrt(self.s[k] / (1 - 0.99**self.steps)) + 1e-8)
+                m, s = self.m[k], self.s[k]
+                m *= 0.9
+                m += 0.1 * g[k]
+                s *= 0.99
+                s += 0.01 * g[k] ** 2
+                size = np.sqrt(s * (1 / (1 - 0.99**self.steps)))
+                size += 1e-8
+                step = m * (self.rate / (1 - 0.9**self.steps))
+                step /= size
+                p -= step
 
 
 def vector(p: Parameters) -> np.ndarray:

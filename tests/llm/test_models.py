@@ -147,6 +147,19 @@ def test_gradients_equal_differences():
         assert g[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=1e-3, abs=1e-6)
 
 
+@pytest.mark.parametrize("bias", [0.0, 200.0, -200.0])
+def test_gradients_are_as_narrow_as_the_weights(bias):
+    p, r = attention.initial(), np.random.default_rng(0)
+    p["bias"] += np.float32(bias)
+    rows, goal = r.integers(0, 50, (3, attention.WINDOW)), r.integers(0, attention.CLASSES, (3, attention.WINDOW))
+    known = r.random(rows.shape) < 0.8
+    _, g = attention._gradients(p, rows, goal, known)
+    _, exact = attention._gradients({k: v.astype(np.float64) for k, v in p.items()}, rows, goal, known)
+    for name in p:
+        assert g[name].dtype == np.float32 and g[name].shape == p[name].shape
+        assert np.allclose(g[name], exact[name], rtol=1e-3, atol=1e-5)
+
+
 def test_each_token_is_scored_once_from_its_window():
     counts = np.random.default_rng(0).integers(0, 9, 3000).astype(float)
     vocabulary, p = attention.Vocabulary(counts), attention.initial()
