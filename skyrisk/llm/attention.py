@@ -53,6 +53,7 @@ def initial(seed: int = 9) -> Parameters:
 
 
 _LATER = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)  # hides what comes later
+_CELLS = np.arange((OWN + CLASSES + 1) * WIDTH).reshape(-1, WIDTH)  # where the numbers of an embedding lie
 
 
 def _exponentials(a: np.ndarray) -> None:
@@ -62,64 +63,93 @@ def _exponentials(a: np.ndarray) -> None:
     np.exp(a, out=a)
 
 
-def forward(p: Parameters, rows: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Class logits behind every position of windows of embedding rows."""
-    t = rows.shape[1]
+def _scaled(p: Parameters) -> np.ndarray:
+    """The weights of queries, keys and values, with the scale of the attention in those of the queries."""
+    w = p["qkv"].copy()
+    w[:, :WIDTH] *= w.dtype.type(WIDTH**-0.5)
+    return w
+
+
+def forward(p: Parameters, rows: np.ndarray, first: int = 0) -> tuple[np.ndarray, tuple]:
+    """Class logits behind every position, from the `first` on, of windows of embedding rows."""
+    n, t = rows.shape
     x = p["tokens"].take(rows, axis=0)
     x += p["places"][:t]
-    q, k, v = np.split(x @ p["qkv"], 3, axis=2)
-    a = np.matmul(q * np.float32(WIDTH**-0.5), np.ascontiguousarray(k.transpose(0, 2, 1)))
-    a += _LATER[:t, :t]
-    _exponentials(a)
-    a *= (1 / (a @ np.ones(t, a.dtype)))[:, :, None]
+    qkv = x @ _scaled(p)
+    q, k = qkv[:, first:, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH]
+    v = np.ones((n, t, WIDTH + 1), x.dtype)  # the last column sums the weights
+    v[:, :, :WIDTH] = qkv[:, :, 2 * WIDTH :]
+    a = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))
+    a += _LATER[first:t, :t]
+    _exponentials(a)  # weights up to a factor for each position
     mixed = np.matmul(a, v)
-    h = x + mixed @ p["out"]
-    u = h @ p["up"]
-    r = np.maximum(u, 0)
-    z = h + r @ p["down"]
-    return z @ p["classes"] + p["bias"], (x, q, k, v, a, mixed, h, u, r, z)
+    inverse = 1 / mixed[:, :, WIDTH:]
+    mixed = mixed[:, :, :WIDTH] * inverse
+    h = mixed @ p["out"]
+    h += x[:, first:]
+    r = h @ p["up"]
+    np.maximum(r, np.zeros_like(r), out=r)
+    z = r @ p["down"]
+    z += h
+    logits = z @ p["classes"]
+    logits += p["bias"]
+    return logits, (x, q, k, v, a, inverse, mixed, h, r, z)
 
 
 def _outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a' b over all positions, window by window: products so small stay on the task's own core."""
-    return np.matmul(a.transpose(0, 2, 1), b).sum(0)
+    """a' b over all positions, some windows at a time: products so small stay on the task's own core."""
+    n, t, _ = a.shape
+    some = next(k for k in (8, 4, 2, 1) if n % k == 0)
+    a, b = a.reshape(n // some, some * t, -1), b.reshape(n // some, some * t, -1)
+    products = np.matmul(a.transpose(0, 2, 1), b)
+    return (np.ones(len(products), a.dtype) @ products.reshape(len(products), -1)).reshape(products.shape[1:])
 
 
 def _gradients(p: Parameters, rows: np.ndarray, goal: np.ndarray, known: np.ndarray) -> tuple[float, Parameters]:
     """In the numbers of `p`; one array of a wider type would make all that follows as wide."""
-    logits, (x, q, k, v, a, mixed, h, u, r, z) = forward(p, rows)
+    logits, (x, q, k, v, a, inverse, mixed, h, r, z) = forward(p, rows)
     n, t = rows.shape
-    total = max(known.sum(), 1)
-    back = {name: np.ascontiguousarray(p[name].T) for name in ("classes", "down", "up", "out", "qkv")}
+    kind = x.dtype.type
+    back = {name: np.ascontiguousarray(w.T) for name, w in (*((name, p[name]) for name in ("classes", "down", "up", "out")), ("qkv", _scaled(p)))}
     d = logits
     if max(d.max(), -d.min()) > 60:
         d -= d.max(2, keepdims=True)
     np.exp(d, out=d)
-    d *= (1 / (d @ np.ones(CLASSES, d.dtype)))[:, :, None]
-    i, j = np.ogrid[:n, :t]
-    loss = -(np.log(d[i, j, goal] + 1e-20) * known).sum() / total
-    d[i, j, goal] -= 1
-    d *= (known / total).astype(d.dtype)[:, :, None]
-    g = {"classes": _outer(z, d), "bias": d.sum(1).sum(0)}
+    flat, place = d.reshape(-1), np.arange(0, d.size, CLASSES) + goal.reshape(-1)
+    total = d.reshape(-1, CLASSES) @ np.ones(CLASSES, kind)
+    share = (known.reshape(-1) / max(known.sum(), 1)).astype(kind)
+    loss = -(np.log(flat.take(place) / total + kind(1e-20)) * share).sum()
+    d *= (share / total).reshape(n, t, 1)
+    flat[place] -= share
+    g = {"classes": _outer(z, d), "bias": np.ones(n * t, kind) @ d.reshape(-1, CLASSES)}
     dz = d @ back["classes"]
     g["down"] = _outer(r, dz)
     du = dz @ back["down"]
-    du *= u > 0
+    du *= r > 0
     g["up"] = _outer(h, du)
-    dh = dz + du @ back["up"]
+    dh = du @ back["up"]
+    dh += dz
     g["out"] = _outer(mixed, dh)
     dm = dh @ back["out"]
-    ds = np.matmul(dm, np.ascontiguousarray(v.transpose(0, 2, 1)))
-    ds -= np.einsum("ntw,ntw->nt", dm, mixed)[:, :, None]  # the mean of each row by its weights
+    dm *= inverse
+    less = np.empty((n, t, WIDTH + 1), kind)
+    less[:, :, :WIDTH] = dm
+    np.einsum("ntw,ntw->nt", dm, mixed, out=less[:, :, WIDTH])  # the mean of each row by its weights
+    v[:, :, WIDTH] = -1
+    ds = np.matmul(less, np.ascontiguousarray(v.transpose(0, 2, 1)))
     ds *= a
-    ds *= ds.dtype.type(WIDTH**-0.5)
-    dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dm)], 2)
+    dqkv = np.empty((n, t, 3 * WIDTH), kind)
+    dqkv[:, :, :WIDTH] = np.matmul(ds, k)
+    dqkv[:, :, WIDTH : 2 * WIDTH] = np.matmul(ds.transpose(0, 2, 1), q)
+    dqkv[:, :, 2 * WIDTH :] = np.matmul(a.transpose(0, 2, 1), dm)
     g["qkv"] = _outer(x, dqkv)
-    dx = dh + dqkv @ back["qkv"]
+    g["qkv"][:, :WIDTH] *= kind(WIDTH**-0.5)
+    dx = dqkv @ back["qkv"]
+    dx += dh
     g["places"] = np.zeros_like(p["places"])
     g["places"][:t] = dx.sum(0)
-    cell = rows.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
-    g["tokens"] = np.bincount(cell.ravel(), dx.ravel(), p["tokens"].size).astype(dx.dtype).reshape(p["tokens"].shape)
+    cell = _CELLS.take(rows, axis=0)
+    g["tokens"] = np.bincount(cell.reshape(-1), dx.reshape(-1), p["tokens"].size).astype(kind).reshape(p["tokens"].shape)
     return float(loss), g
 
 
@@ -127,28 +157,32 @@ class Fit:
     """Adam on windows: embedding rows, class to come and whether it counts."""
 
     def __init__(self, p: Parameters, rate: float = 4e-3) -> None:
-        self.p = {k: v.copy() for k, v in p.items()}
-        self.m, self.s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+        self.all = np.concatenate([v.ravel() for v in p.values()])  # all numbers; those of `p` lie in it
+        ends = np.cumsum([v.size for v in p.values()])
+        self.p = {k: part.reshape(v.shape) for (k, v), part in zip(p.items(), np.split(self.all, ends[:-1]), strict=True)}
+        self.m, self.s, self.step = (np.zeros_like(self.all) for _ in range(3))
         self.rate, self.steps, self.rng = rate, 0, np.random.default_rng(3)
 
     def over(self, rows: np.ndarray, goal: np.ndarray, known: np.ndarray, batch: int = 64) -> None:
         """One pass over the windows."""
-        order = self.rng.permutation(len(rows))
+        order, m, s, step = self.rng.permutation(len(rows)), self.m, self.s, self.step
         for at in range(0, len(order), batch):
             b = order[at : at + batch]
-            _, g = _gradients(self.p, rows[b], goal[b], known[b])
+            _, parts = _gradients(self.p, rows[b], goal[b], known[b])
+            g = np.concatenate([parts[k].ravel() for k in self.p])
             self.steps += 1
-            for k, p in self.p.items():
-                m, s = self.m[k], self.s[k]
-                m *= 0.9
-                m += 0.1 * g[k]
-                s *= 0.99
-                s += 0.01 * g[k] ** 2
-                size = np.sqrt(s * (1 / (1 - 0.99**self.steps)))
-                size += 1e-8
-                step = m * (self.rate / (1 - 0.9**self.steps))
-                step /= size
-                p -= step
+            m *= 0.9
+            m += np.multiply(g, 0.1, out=step)
+            s *= 0.99
+            np.multiply(g, g, out=step)
+            step *= 0.01
+            s += step
+            np.multiply(s, 1 / (1 - 0.99**self.steps), out=step)
+            np.sqrt(step, out=step)
+            step += 1e-8
+            np.divide(m, step, out=step)
+            step *= self.rate / (1 - 0.9**self.steps)
+            self.all -= step
 
 
 def vector(p: Parameters) -> np.ndarray:
@@ -195,25 +229,28 @@ def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, number * STRIDE, np.where(number > 0, number * STRIDE + WINDOW - STRIDE, 0)
 
 
-def log_probabilities(p: Parameters, vocabulary: Vocabulary, flat: np.ndarray, lengths: np.ndarray, start: int, batch: int = 256) -> np.ndarray:
+def log_probabilities(p: Parameters, vocabulary: Vocabulary, flat: np.ndarray, lengths: np.ndarray, start: int, batch: int = 128) -> np.ndarray:
     """log10 probability of each text; `flat` has the tokens of all texts in order, each
     predicted from those before it, the first from the `start` token."""
     offset = np.cumsum(lengths) - lengths
     row, goal = _behind(vocabulary, flat)
     out = np.bincount(np.repeat(np.arange(len(lengths)), lengths), vocabulary.log_share[flat], len(lengths))
     text, begin, scored = windows(lengths)
-    step, ones = np.arange(WINDOW), np.ones(CLASSES, np.float32)
-    for at in range(0, len(text), batch):
-        w = slice(at, at + batch)
-        place = offset[text[w], None] + begin[w, None] + step
-        rows = row[place]  # the token before each place
-        rows[begin[w] == 0, 0] = vocabulary.place[start]
-        logits, _ = forward(p, rows)
-        logits = logits.reshape(-1, CLASSES)
-        _exponentials(logits)
-        chosen = logits[np.arange(len(logits)), goal[place].ravel()] / (logits @ ones)
-        chosen = np.log(np.maximum(chosen, 1e-30)).reshape(place.shape)
-        inside = begin[w, None] + step
-        chosen *= (inside >= scored[w, None]) & (inside < lengths[text[w], None])
-        out += np.bincount(text[w], chosen.sum(1, dtype=np.float64) / np.log(10), len(lengths))
+    ones = np.ones(CLASSES, np.float32)
+    # What a text begins with is scored from its first position on; of later windows the first part only gives context.
+    for first, group in ((0, np.flatnonzero(begin == 0)), (WINDOW - STRIDE, np.flatnonzero(begin > 0))):
+        step = np.arange(first, WINDOW)
+        for at in range(0, len(group), batch):
+            w = group[at : at + batch]
+            rows = row[(offset[text[w]] + begin[w])[:, None] + np.arange(WINDOW)]  # the token before each place
+            if not first:
+                rows[:, 0] = vocabulary.place[start]
+            logits = forward(p, rows, first)[0].reshape(-1, CLASSES)
+            _exponentials(logits)
+            inside = begin[w, None] + step
+            chosen = logits.reshape(-1).take(np.arange(0, logits.size, CLASSES) + goal[offset[text[w], None] + inside].reshape(-1))
+            chosen /= logits @ ones
+            chosen = np.log(np.maximum(chosen, np.float32(1e-30))).reshape(inside.shape)
+            chosen *= (inside >= scored[w, None]) & (inside < lengths[text[w], None])
+            out += np.bincount(text[w], (chosen @ ones[: len(step)]) / np.log(10), len(lengths))
     return out

@@ -37,7 +37,6 @@ BLOCK_BYTES = 8 << 20
 ROUNDS = 2  # passes over all training rows
 GROUP = 200_000  # tokens held at once
 START, END = "<|startoftext|>", "<|endoftext|>"
-CACHE_WORDS = 500_000  # remembered subword ids per Python worker
 
 
 class Subwords:
@@ -51,20 +50,14 @@ class Subwords:
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         self.start, self.end = self.tokenizer.token_to_id(START), self.tokenizer.token_to_id(END)
-        self.known: dict[bytes, bytes] = {}
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each word."""
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        for at in range(0, len(new), 2000):
-            part = new[at : at + 2000]
-            codes = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, c in zip(part, codes, strict=True):
-                known[w] = np.array(c.ids, "<u4").tobytes()
-        return [known[w] for w in words]
+        out = []
+        for at in range(0, len(words), 2000):
+            part = [w.decode("utf-8", "replace") for w in words[at : at + 2000]]
+            out += [np.array(c.ids, "<u4").tobytes() for c in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -72,44 +65,54 @@ def subwords(path: str) -> Subwords:
     return Subwords(path)
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words of a text, A-Z lowered: runs without ASCII white space."""
-    return text.lower().split()
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts, A-Z lowered, one behind another (runs without ASCII white space), and which text each is of."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    of = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    words = lists.flatten()
+    some = pc.not_equal(words, "")  # white space at an end of a text leaves an empty word
+    return words.filter(some).cast(pa.binary()), of[some.to_numpy(zero_copy_only=False)]
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
     return [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in column]
 
 
+def _release() -> None:
+    """Give back what Arrow keeps of freed memory: the worker goes on to other tasks, beside the executor's."""
+    pa.default_memory_pool().release_unused()
+
+
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each block with their training count; rows arrive block by block."""
-    counts: dict[bytes, int] = {}
+    found: list[tuple[pa.Array, np.ndarray]] = []  # of the current block: words and counts, slice by slice
     current: int | None = None
 
     def out() -> Iterator[pa.RecordBatch]:
-        words = list(counts)
-        for at in range(0, len(words), 50_000):
-            part = words[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.binary()), pa.array([current] * len(part), pa.int32()), pa.array([counts[w] for w in part], pa.int64())],
-                ["word", "block", "n"],
-            )
+        if found:
+            words = pa.concat_arrays([w for w, _ in found]).dictionary_encode()
+            n = np.bincount(words.indices.to_numpy(), np.concatenate([c for _, c in found])).astype(np.int64)
+            block = pa.array(np.full(len(n), current, np.int32))
+            whole = pa.RecordBatch.from_arrays([words.dictionary, block, pa.array(n)], ["word", "block", "n"])
+            for at in range(0, len(n), 50_000):
+                yield whole.slice(at, 50_000)
 
     for batch in batches:
-        blocks = batch.column(0).to_pylist()
-        for block, held, text in zip(blocks, batch.column(1).to_pylist(), batch.column(2), strict=True):
-            if block != current:
-                yield from out()
-                counts, current = {}, block
-            words = tokens(text.as_buffer().to_pybytes()) if text.is_valid else []
-            if held:
-                for w in words:
-                    if w not in counts:
-                        counts[w] = 0
-            else:
-                for w in words:
-                    counts[w] = counts.get(w, 0) + 1
+        for part in slices(batch):
+            blocks = part.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if blocks[a] != current:
+                    yield from out()
+                    found, current = [], int(blocks[a])
+                words, of = tokens(part.column(2).slice(a, b - a))
+                if len(words):
+                    teaches = ~part.column(1).slice(a, b - a).to_numpy(zero_copy_only=False)
+                    words = words.dictionary_encode()
+                    found.append((words.dictionary, np.bincount(words.indices.to_numpy(), teaches[of])))
     yield from out()
+    found = []
+    _release()
 
 
 def _corpus_words(path: str):
@@ -143,9 +146,10 @@ def _corpus_words(path: str):
             elif cut:
                 yield out([batch.slice(0, cut)], sub)
             held.append(batch.slice(cut))
-            sub.known.clear()
         if held:
             yield out(held, sub)
+        held = []
+        _release()
 
     return run
 
@@ -171,6 +175,24 @@ def _flat_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[starts[0] : starts[-1]], starts - starts[0]
 
 
+def _joined(flat: np.ndarray, starts: np.ndarray, at: np.ndarray, of: np.ndarray, sizes: np.ndarray, n: int, end: int) -> pa.Array:
+    """The ids of each of `n` texts, and the `end` behind them: `at` are the words of all texts, `of` whose they are."""
+    lengths = np.bincount(of, sizes[at], n).astype(np.int64) + 1
+    until = np.cumsum(lengths)
+    out = np.empty(int(until[-1]) if n else 0, "<u4")
+    inner = np.ones(len(out), bool)
+    inner[until - 1], out[until - 1] = False, end
+    ids = np.empty(len(out) - n, "<u4")
+    done = 0
+    for i in range(0, len(at), GROUP):
+        part = at[i : i + GROUP]
+        k = sizes[part]
+        ids[done : done + k.sum()] = flat[np.arange(k.sum()) + np.repeat(starts[part] - (np.cumsum(k) - k), k)]
+        done += k.sum()
+    out[inner] = ids
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.r_[0, until * 4].astype(np.int32)), pa.py_buffer(out)])
+
+
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Texts of a batch in groups, so that the arrays of the network stay small: which rows,
     their ids one behind another, and their lengths."""
@@ -263,29 +285,27 @@ def score(df: DataFrame, vocabulary_file: str, key: str = "doc_id", text: str =
 
     def block_sequences(_: tuple, texts: pa.Table, counted: pa.Table) -> pa.Table:
         texts, counted = texts.sort_by("order"), counted.combine_chunks()
-        names = counted.column("word").to_pylist()
         c = counted.column("n").to_numpy()
-        place = dict(zip(names, range(len(names)), strict=True))
+        names = counted.column("word").chunk(0) if len(c) else pa.array([], pa.binary())
         base, is_known = log_of(c), c > 0
-        flat, starts = _flat_ids(counted.column("ids").chunk(0)) if names else (np.zeros(0, "<u4"), np.zeros(1, np.int64))
+        flat, starts = _flat_ids(counted.column("ids").chunk(0)) if len(c) else (np.zeros(0, "<u4"), np.zeros(1, np.int64))
         sizes = np.diff(starts)
-        n, known, scores, sequences = [], [], [], []
-        for t in _bytes(texts.column("text")):
-            words = tokens(t)
-            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-            n.append(len(at) + 1)
-            known.append(int(is_known[at].sum()) + (ends > 0))
-            scores.append(float(base[at].sum()) + end_score)
-            k = sizes[at]
-            inner = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-            sequences.append(np.append(flat[np.repeat(starts[at], k) + inner], np.uint32(end)))
-        return pa.table(
-            {
-                key: texts.column("key"), "held_out": texts.column("held"), "n_tokens": pa.array(n, pa.int64()),
-                "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n_train] * len(n), pa.int64()),
-                "base_score": pa.array(scores, pa.float64()), "ids": pa.array([s.astype("<u4").tobytes() for s in sequences], pa.binary()),
-            }
-        )
+        done = []
+        for batch in (part for whole in texts.to_batches() for part in slices(whole)):
+            words, of = tokens(batch.column("text"))
+            at = pc.index_in(words, value_set=names).to_numpy(zero_copy_only=False)
+            count = lambda weights=None: np.bincount(of, weights, batch.num_rows)  # noqa: B023, E731
+            done.append(
+                pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("key"), batch.column("held"), pa.array(count() + 1), pa.array(count(is_known[at]).astype(np.int64) + (ends > 0)),
+                        pa.array(np.full(batch.num_rows, n_train)), pa.array(count(base[at]) + end_score), _joined(flat, starts, at, of, sizes, batch.num_rows, end),
+                    ],
+                    [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "ids"],
+                )
+            )
+        _release()
+        return pa.Table.from_batches(done)
 
     schema = f"{key} {key_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
     paired = dealt.groupBy("block").cogroup(words.select("block", "word", "n", "ids").groupBy("block"))

@@ -4,10 +4,12 @@ import math
 import random
 import re
 import string
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skyrisk.llm import attention, lm, quality, toxicity
@@ -213,3 +215,31 @@ def test_a_small_corpus_is_gone_over_once_a_round_like_any_other(spark):
         expected = fit.p
     got = lm._trained(df, vocabulary, 7)
     assert np.allclose(attention.vector(got), attention.vector(expected), atol=1e-5)
+
+
+def test_words_are_runs_without_ascii_white_space():
+    texts = [*("a" + chr(c) + "B" for c in range(1, 300)), None, "", " \x0b ", " Éa  B c ", "\x85x "]
+    words, of = lm.tokens(pa.array(texts, pa.string()))
+    want = [(w, i) for i, t in enumerate(texts) for w in (t or "").encode().lower().split()]
+    assert list(zip(words.to_pylist(), of.tolist(), strict=True)) == want
+
+
+def test_a_block_of_words_takes_little_memory_beside_its_texts():
+    rng = np.random.default_rng(0)
+    texts = [" ".join(map(str, rng.integers(0, 10**12, 2000))) for _ in range(100)]  # 200 000 distinct words
+    size = sum(map(len, texts))
+    held = [i % 10 == 0 for i in range(100)]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 100, pa.int32()), pa.array(held), pa.array(texts)], ["block", "held", "text"])
+    tracemalloc.start()
+    found = sum(b.num_rows for b in lm._block_words(iter([batch])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == len({w for t in texts for w in t.split()}) and peak < 4 * size
+
+
+def test_positions_that_only_give_context_are_not_scored(monkeypatch):
+    vocabulary, seen, forward = attention.Vocabulary(np.ones(3000)), [], attention.forward
+    monkeypatch.setattr(attention, "forward", lambda *a: (seen.append((r := forward(*a))[0][..., 0].size), r)[1])
+    flat = np.random.default_rng(1).integers(0, 3000, 5000)
+    attention.log_probabilities(attention.initial(), vocabulary, flat, np.array([5000]), start=7)
+    assert sum(seen) < 5000 + attention.WINDOW
