@@ -6,8 +6,10 @@ it takes there. A query opens the files of its own nearest pivots and adds up ho
 differ (the footrule; a pivot that one side lacks counts as if it came last). The best share
 of a block is reranked by exact distances, the best of all blocks are the answer.
 
-Queries and vectors meet in blocks of bounded size, so that no task holds more than one block
-of each. Equal vectors of a block are one entry with several ids. Pivots are a bounded sample
+Queries and vectors meet in lanes of both, of bounded size, so that a task holds one lane of each
+at a time; a vector travels once for each lane of queries and a query once for each lane of
+vectors, as rows. A lane's blocks are indexed where they meet its queries, and only the best of
+the lane leave. Equal vectors of a block are one entry with several ids. Pivots are a bounded sample
 (the smallest id hashes); every vector is indexed. `RERANK` is a share, so it grows with the
 table; recall against brute force is measured in the tests and the README.
 
@@ -19,7 +21,6 @@ the smaller id. An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,16 @@ from pyspark.sql import functions as F
 from skyrisk.llm.shared import landed
 
 PIVOTS, LENGTH = 256, 96
-BLOCK, QUERY_BLOCK = 4096, 1024
+BLOCK = 4096
+LANES = 64  # of vectors, as long as none has to be longer than `LANE` for it, or shorter than a block
+LANE, QUERY_LANE = 16 * BLOCK, 16384
 RERANK = 0.08
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, v): one non-zero vector of finite doubles per id."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    """(id, v): one non-zero vector of finite numbers per id, doubles unless they come as floats."""
+    kind = "array<float>" if dict(df.dtypes)[vector] == "array<float>" else "array<double>"
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast(kind).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     ok = F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     return rows.where(ok).groupBy("id").agg(F.min("v").alias("v"))
@@ -49,36 +53,34 @@ def permutations(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 class InvertedFiles:
-    """The files of one block: for every pivot, entries and the place it has in them."""
+    """The files of one block: for every pivot, how far each entry's place is from coming last,
+    zero where an entry does not count the pivot among its nearest."""
 
     def __init__(self, perms: np.ndarray, n_pivots: int) -> None:
         self.n, self.m = perms.shape
-        order = np.argsort(perms, axis=None, kind="stable")
-        self.entry, self.place = order // self.m, (order % self.m).astype(np.int32)
-        self.start = np.searchsorted(perms.ravel()[order], np.arange(n_pivots + 1))
+        # Sums of the common part of two permutations are at most m (m + 1) / 2.
+        self.files = np.zeros((n_pivots, self.n), np.int16 if self.m < 255 else np.int32)
+        self.files[perms, np.arange(self.n)[:, None]] = self.m - np.arange(self.m)
 
     def footrules(self, perm: np.ndarray) -> np.ndarray:
-        """Footrule distance of a query's permutation to every entry. Without common pivots
-        it is the largest; each common pivot lowers it by what it was taken for too much."""
+        """Footrule distance of a query's permutation to every entry. Without common pivots it is
+        the largest; each common pivot lowers it by twice the lesser distance from the last place."""
         m = self.m
-        out = np.full(self.n, m * (m + 1), np.int32)
-        for at, p in enumerate(perm.tolist()):
-            a, b = self.start[p], self.start[p + 1]
-            place = self.place[a:b]
-            out[self.entry[a:b]] -= (m - at) + (m - place) - np.abs(place - at)
-        return out
+        common = np.minimum(self.files[perm], (m - np.arange(m, dtype=self.files.dtype))[:, None])
+        return m * (m + 1) - 2 * common.sum(0, dtype=self.files.dtype).astype(np.int32)
 
 
-def search_block(queries: tuple[np.ndarray, np.ndarray], ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, k: int) -> list[tuple]:
-    """(query, id, distance) of the nearest k found in one block for each query."""
-    qids, q = queries
+def search_block(queries: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, k: int) -> list[tuple]:
+    """(query, id, distance) of the nearest k found in one block for each query, given as ids,
+    vectors and permutations."""
+    qids, q, perms = queries
     distinct, inverse = np.unique(x, axis=0, return_inverse=True)
     by = np.lexsort((ids, inverse.ravel()))
     start = np.searchsorted(inverse.ravel()[by], np.arange(len(distinct) + 1))
     files = InvertedFiles(permutations(distinct, pivots), len(pivots))
     least = min(len(distinct), max(4 * k, int(np.ceil(RERANK * len(distinct)))))
     out = []
-    for qid, v, perm in zip(qids.tolist(), q, permutations(q, pivots), strict=True):
+    for qid, v, perm in zip(qids.tolist(), q, perms, strict=True):
         footrule = files.footrules(perm)
         near = np.argpartition(footrule, least - 1)[:least] if least < len(distinct) else np.arange(len(distinct))
         d = np.sqrt(((distinct[near] - v) ** 2).sum(1))
@@ -92,32 +94,29 @@ def search_block(queries: tuple[np.ndarray, np.ndarray], ids: np.ndarray, x: np.
     return out
 
 
-def _packed(rows: DataFrame, block: str) -> DataFrame:
-    """One row per block: its ids, and its vectors as doubles one behind another."""
+def _vectors(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a lane, by id."""
+    lane = table.select(["id", "v"]).combine_chunks()
+    ids = lane.column("id").to_numpy()
+    x = pa.concat_arrays([c.flatten() for c in lane.column("v").chunks]).to_numpy().astype(np.float64).reshape(-1, size)
+    by = np.argsort(ids, kind="stable")
+    return ids[by], x[by]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
 
-        def out(b: int) -> pa.RecordBatch:
-            parts = held.pop(b)
-            ids = pa.array([np.concatenate([p[0] for p in parts])], pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), ids, pa.array([b"".join(p[1] for p in parts)])], [block, "ids", "vectors"])
-
-        for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-            for a, b in zip(edges, edges[1:], strict=False):
-                if b > a:
-                    for done in [x for x in held if x != blocks[a]]:
-                        yield out(done)
-                    part = batch.slice(a, b - a)
-                    data = part.column(2).flatten().to_numpy().tobytes()
-                    held.setdefault(int(blocks[a]), []).append((part.column(1).to_numpy(), data))
-        for b in list(held):
-            yield out(b)
-
-    ordered = rows.select(block, "id", "v").repartition(F.col(block)).sortWithinPartitions(block, "id")
-    return ordered.mapInArrow(run, f"{block} int, ids array<long>, vectors binary")
+def search_lane(queries: tuple[np.ndarray, np.ndarray], ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, ids and distances of the nearest k found in any block of a lane for each query."""
+    best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    n_blocks, asked = max(1, -(-len(ids) // BLOCK)), (*queries, permutations(queries[1], pivots))
+    for part in range(n_blocks):
+        found = search_block(asked, ids[part::n_blocks], x[part::n_blocks], pivots, k)
+        new = [np.array(c, a.dtype) for c, a in zip(zip(*found, strict=True), best, strict=True)] if found else best
+        q, i, d = (np.concatenate([a, b]) for a, b in zip(best, new, strict=True)) if found else best
+        by = np.lexsort((i, d, q))
+        q, i, d = q[by], i[by], d[by]
+        start = np.flatnonzero(np.r_[True, q[1:] != q[:-1]][: len(q)])
+        rank = np.arange(len(q)) - np.repeat(start, np.diff(np.r_[start, len(q)]))
+        best = [c[rank < k] for c in (q, i, d)]
+    return tuple(best)
 
 
 def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = 10) -> DataFrame:
@@ -132,25 +131,25 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
     size = Counter(len(r["v"]) for r in sample).most_common(1)[0][0]
     pivots = np.array(list(dict.fromkeys(tuple(r["v"]) for r in sample if len(r["v"]) == size))[:PIVOTS])
     alike = rows.where(F.size("v") == size)
-    n = alike.count()
-    n_blocks, n_query_blocks = -(-n // BLOCK), max(1, -(-(n // every + 1) // QUERY_BLOCK))
-    into = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")
-    blocks = _packed(alike.withColumn("block", into(n_blocks)), "block")
-    asked = alike.where(F.col("id") % every == 0).withColumn("qblock", into(n_query_blocks))
-    asks = _packed(asked, "qblock").select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.col("ids").alias("qids"), F.col("vectors").alias("qvectors")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, vectors, qids, qvectors in zip(*(batch.column(i) for i in range(4)), strict=True):
-                x, q = (np.frombuffer(v.as_buffer(), np.float64).reshape(-1, size) for v in (vectors, qvectors))
-                found = search_block((qids.values.to_numpy(), q), ids.values.to_numpy(), x, pivots, k)
-                cols = list(zip(*found, strict=True)) or [[], [], []]
-                types = (pa.int64(), pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["query_id", key, "score"])
-
-    met = blocks.join(asks, "block").select("ids", "vectors", "qids", "qvectors")
-    found = met.mapInArrow(run, f"query_id long, {key} long, score double")
+    asked = alike.where(F.col("id") % every == 0)
+    n, n_asked = alike.count(), asked.count()
+    n_lanes, n_query_lanes = -(-n // min(LANE, max(BLOCK, -(-n // LANES)))), max(1, -(-n_asked // QUERY_LANE))
+
+    def dealt(rows: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own)
+        return rows.select("id", "v", mine, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other))
+
+    lanes = dealt(alike, "lane", n_lanes, "queries", n_query_lanes).groupBy("lane", "queries")
+    asks = dealt(asked, "queries", n_query_lanes, "lane", n_lanes).groupBy("lane", "queries")
+
+    def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
+        if not (vectors.num_rows and queries.num_rows):
+            found = ([], [], [])
+        else:
+            found = search_lane(_vectors(queries, size), *_vectors(vectors, size), pivots, k)
+        types = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(found, types, strict=True)], ["query_id", key, "score"])
+
+    found = lanes.cogroup(asks).applyInArrow(run, f"query_id long, {key} long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", key)).cast("int")
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", key, "score")

@@ -55,6 +55,27 @@ def test_recall_is_over_nine_tenths(spark, monkeypatch):
     assert np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("lane,queries", [(200, 3), (10_000, 10_000)])
+def test_lanes_of_vectors_and_queries_lose_nothing(spark, monkeypatch, lane, queries):
+    for name, value in (("BLOCK", 150), ("LANES", 2), ("LANE", lane), ("QUERY_LANE", queries), ("RERANK", 1.0)):
+        monkeypatch.setattr(neighbours, name, value)
+    r = np.random.default_rng(7)
+    rows = [(i, r.normal(size=16).tolist()) for i in range(900)]
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(1100)]  # large groups of equal vectors, some of them queries
+    got, want = searched(spark, rows), brute(rows)
+    assert got.keys() == want.keys() and len(want) == 20
+    for q in want:
+        assert [i for _, i in got[q]] == [i for _, i in want[q]]
+        assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want[q]])
+
+
+def test_a_query_travels_as_a_row_not_in_a_block_of_queries(spark):
+    r = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, r.normal(size=16).tolist()) for i in range(300)], "vec_id long, embedding array<float>")
+    plan = neighbours.search(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "qvectors" not in plan
+
+
 def test_footrules_equal_their_definition():
     r = np.random.default_rng(1)
     perms = np.array([r.permutation(20)[:8] for _ in range(30)], np.int16)
